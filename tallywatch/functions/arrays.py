@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _middle(ordered: Column) -> Column:
     n = F.size(ordered)
     low = F.floor((n - 1) / 2).cast("int")
@@ -15,12 +22,12 @@ def _middle(ordered: Column) -> Column:
 
 def array_median(values: Column) -> Column:
     """Median of an array of numbers; null for an empty array."""
-    return F.when(F.size(values) > 0, _middle(F.array_sort(values)))
+    return bind(F.sort_array(values), lambda s: F.when(F.size(s) > 0, _middle(s)))
 
 
 def array_mad(values: Column) -> Column:
     """Median absolute deviation from the median."""
-    return array_median(F.transform(values, lambda v: F.abs(v - array_median(values))))
+    return bind(array_median(values), lambda m: array_median(F.transform(values, lambda v: F.abs(v - m))))
 
 
 def spaced_dates(dates: Column, gap_days: int) -> Column:

@@ -11,32 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.joins import join_frequent_apart
-from tallywatch.functions.ranks import RANGE_ROWS, one_row, running_counts, value_counts
+from tallywatch.functions.joins import BROADCAST_ROWS, is_small, join_frequent_apart
+from tallywatch.functions.ranks import RANGE_ROWS, running_counts, value_counts
 from tallywatch.operators.detectors.matrix import Matrix
+from tallywatch.sources.scratch import materialise
 
 
-def fit(m: Matrix, range_rows: int = RANGE_ROWS):
+def fit(m: Matrix, range_rows: int = RANGE_ROWS, broadcast_rows: int = BROADCAST_ROWS):
     cells = m.df.select(*m.keys, F.posexplode("x").alias("feature", "value"))
-    ranked = running_counts(value_counts(cells), m.n_rows, range_rows)
     rows = F.lit(float(m.n_rows))
-    tails = ranked.select(
-        "feature", "value", "n",
-        (-F.log(F.col("upto") / rows)).alias("left"),
-        (-F.log((m.n_rows - F.col("upto") + F.col("n")) / rows)).alias("right"),
+    tails = materialise(
+        running_counts(value_counts(cells), m.n_rows, range_rows).select(
+            "feature", "value", "n",
+            (-F.log(F.col("upto") / rows)).alias("left"),
+            (-F.log((m.n_rows - F.col("upto") + F.col("n")) / rows)).alias("right"),
+        ),
+        "tails",
     )
+    skews = m.df.agg(*[F.skewness(F.col("x")[i]) for i in range(m.width)]).first()
     # A constant feature has no skewness; both its tails are 0.
-    signs = [F.coalesce(F.signum(F.skewness(F.col("x")[i])), F.lit(0.0)) for i in range(m.width)]
-    skew = one_row(m.df.agg(F.array(*signs).alias("sign")))["sign"]
-    skewed = F.when(skew[F.col("feature")] < 0, F.col("left")).otherwise(F.col("right"))
-    scores = (
-        join_frequent_apart(cells, tails, ["feature", "value"], "n", m.n_rows)
-        .groupBy(*m.keys)
-        .agg(F.sum("left").alias("l"), F.sum("right").alias("r"), F.sum(skewed).alias("s"))
+    leftward = [i for i, s in enumerate(skews) if s is not None and s < 0]
+    skewed = F.when(F.col("feature").isin(*leftward), F.col("left")).otherwise(F.col("right"))
+    if is_small(tails, broadcast_rows):
+        found = cells.join(F.broadcast(tails.drop("n")), ["feature", "value"])
+    else:
+        found = join_frequent_apart(cells, tails, ["feature", "value"], "n", m.n_rows)
+    scores = found.groupBy(*m.keys).agg(
+        F.greatest(F.sum("left"), F.sum("right"), F.sum(skewed)).alias("score")
     )
 
     def score(df: DataFrame, name: str) -> DataFrame:
-        found = scores.select(*m.keys, F.greatest("l", "r", "s").alias(name))
-        return df.join(found, m.keys, "left")
+        return df.join(scores.withColumnRenamed("score", name), m.keys, "left")
 
     return score

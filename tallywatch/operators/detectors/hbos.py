@@ -1,61 +1,49 @@
 """Histogram score (Goldstein and Dengel 2012).
 
 Each feature gets equal-width bins over its range; a row's score is the sum of the
-negative logs of its bins' densities.
+negative logs of its bins' densities. The model is one number per feature and bin.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.ranks import one_row
 from tallywatch.operators.detectors.matrix import Matrix
 
 BINS = 10
 SMOOTHING = 0.1
 
 
-def _ranges(m: Matrix) -> Column:
+def fit(m: Matrix, bins: int = BINS, smoothing: float = SMOOTHING):
     x = F.col("x")
-    return one_row(m.df.agg(
+    ranges = m.df.agg(
         F.array(*[F.min(x[i]) for i in range(m.width)]).alias("lo"),
         F.array(*[F.max(x[i]) for i in range(m.width)]).alias("hi"),
-    ))
-
-
-def _slot(m: Matrix, i: int, bins: int) -> Column:
-    """Position of the row's bin of feature ``i`` among all bins of all features."""
-    value, lo, hi = F.col("x")[i], F.col("_r.lo")[i], F.col("_r.hi")[i]
-    steps = F.floor((value - lo) / ((hi - lo) / bins)).cast("int")
-    return i * bins + F.when(hi > lo, F.least(steps, F.lit(bins - 1))).otherwise(0)
-
-
-def fit(m: Matrix, bins: int = BINS, smoothing: float = SMOOTHING):
-    ranges = _ranges(m)
-
-    def with_slots(df: DataFrame) -> DataFrame:
-        slots = F.array(*[_slot(m, i, bins) for i in range(m.width)])
-        return df.withColumn("_r", ranges).withColumn("_slots", slots).drop("_r")
-
-    # At most features x bins rows, turned into one array.
-    counts = with_slots(m.df).select(F.explode("_slots").alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
-    widths = counts.withColumn("r", ranges).withColumn("i", F.floor(F.col("slot") / bins).cast("int"))
-    width = (F.col("r.hi")[F.col("i")] - F.col("r.lo")[F.col("i")]) / bins
-    height = F.col("n") / F.lit(float(m.n_rows)) / width
-    terms = widths.select(
-        "slot",
+    ).first()
+    lo, hi = ranges["lo"], ranges["hi"]
+
+    def slot(i: int) -> Column:
+        """Position of the row's bin of feature ``i`` among all bins of all features."""
+        if not hi[i] > lo[i]:
+            return F.lit(i * bins)
+        steps = F.floor((x[i] - lo[i]) / ((hi[i] - lo[i]) / bins)).cast("int")
+        return i * bins + F.least(steps, F.lit(bins - 1))
+
+    slots = F.array(*[slot(i) for i in range(m.width)])
+    counts = m.df.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count("*").alias("n")).collect()
+    terms = [0.0] * (m.width * bins)
+    for row in counts:
+        i = row["slot"] // bins
         # A constant feature tells rows apart by nothing.
-        F.when(width > 0, -F.log2(height + F.lit(smoothing))).otherwise(0.0).alias("term"),
-    ) if m.n_rows else counts.select("slot", F.lit(0.0).alias("term"))
-    by_slot = terms.agg(F.map_from_entries(F.collect_list(F.struct("slot", "term"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(m.width * bins - 1)),
-                        lambda s: F.coalesce(F.try_element_at("m", s), F.lit(0.0)))
-    table = one_row(by_slot.select(dense.alias("terms")))
+        if hi[i] > lo[i]:
+            terms[row["slot"]] = -math.log2(row["n"] / m.n_rows / ((hi[i] - lo[i]) / bins) + smoothing)
+    table = F.array(*[F.lit(t) for t in terms])
 
     def score(df: DataFrame, name: str) -> DataFrame:
-        scored = with_slots(df).withColumn("_t", table)
-        total = sum((F.col("_t.terms")[F.col("_slots")[i]] for i in range(m.width)), F.lit(0.0))
-        return scored.withColumn(name, total).drop("_t", "_slots")
+        total = F.aggregate(slots, F.lit(0.0), lambda acc, s: acc + F.get(table, s))
+        return df.withColumn(name, total)
 
     return score

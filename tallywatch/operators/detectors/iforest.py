@@ -41,7 +41,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
             tree["length"][me] = depth + expected_path(len(rows))
             return me
-        feature = int(rng.choice(usable))
+        feature = int(usable[rng.integers(len(usable))])
         cut = float(rng.uniform(lo[feature], hi[feature]))
         below = rows[:, feature] < cut
         tree["feature"][me], tree["cut"][me] = feature, cut
@@ -74,7 +74,10 @@ def fit(m: Matrix, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = S
         tree = _grow(np.stack(chosen["x"].to_numpy()), np.random.default_rng([seed, number]), limit)
         return pd.DataFrame({"tree": [number], **{key: [value] for key, value in tree.items()}})
 
-    grown = _subsamples(m, trees, subsample, seed).groupBy("tree").applyInPandas(
+    # One small group per tree; a fixed partition count keeps them from being merged into one task.
+    tasks = min(trees, m.df.sparkSession.sparkContext.defaultParallelism)
+    picked = _subsamples(m, trees, subsample, seed).repartition(tasks, "tree")
+    grown = picked.groupBy("tree").applyInPandas(
         grow,
         "tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, length array<double>",
     )

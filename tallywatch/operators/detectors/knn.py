@@ -181,9 +181,9 @@ def _other_cells(points: DataFrame, found: DataFrame, width: int, k: int) -> Dat
     )
     # Queries of one cell meet the points of one other cell, so a group is bounded
     # by two cells even where every cell visits the same one.
-    pairs = visits.select("cell", "target").distinct()
+    pairs = visits.select(F.col("cell").alias("home"), F.col("target").alias("host")).distinct()
     pairs = F.broadcast(pairs) if is_small(pairs) else pairs
-    hosts = points.select(F.col("cell").alias("target"), "x", "n").join(pairs, "target")
+    hosts = points.select(F.col("cell").alias("host"), "x", "n").join(pairs, "host")
 
     def search(queries: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         near = _nearest(_stack(queries["x"]), _stack(others["x"]), others["n"].to_numpy(), k, same=False)
@@ -191,7 +191,7 @@ def _other_cells(points: DataFrame, found: DataFrame, width: int, k: int) -> Dat
 
     return (
         visits.groupBy("cell", "target")
-        .cogroup(hosts.groupBy("cell", "target"))
+        .cogroup(hosts.groupBy("home", "host"))
         .applyInPandas(search, "x array<double>, near array<double>")
     )
 

@@ -11,6 +11,8 @@ from tallywatch.functions.ranks import exact_quantiles
 from tallywatch.operators.features import FEATURES
 from tallywatch.sources.scratch import materialise
 
+DECIMALS = 9
+
 
 @dataclass(frozen=True)
 class Matrix:
@@ -33,13 +35,14 @@ class Matrix:
 def build_matrix(features: DataFrame, group: str, columns: tuple[str, ...] = FEATURES) -> Matrix:
     """Write the features once and fill each null with the median of its column.
 
-    The medians are over all segments. A column without any value becomes 0.
+    The medians are over all segments. A column without any value becomes 0. Values
+    are rounded to nine decimals, so that ranks see equal values as equal.
     """
-    stored = materialise(features.select(group, "src", "date", *columns), "features")
+    cells = F.array(*[F.round(F.col(c).cast("double"), DECIMALS) for c in columns])
+    stored = materialise(features.select(group, "src", "date", "job_count", cells.alias("cells")), "features")
     n_rows = stored.count()
-    medians = exact_quantiles(stored, list(columns), 0.5, n_rows).first()
-    x = F.array(*[
-        F.coalesce(F.col(c).cast("double"), F.lit(medians[c] if medians[c] is not None else 0.0))
-        for c in columns
-    ])
+    spread = stored.select(*[F.col("cells")[i].alias(f"f{i}") for i in range(len(columns))])
+    medians = exact_quantiles(spread, spread.columns, 0.5, n_rows).first()
+    fill = F.array(*[F.lit(float(v) if v is not None else 0.0) for v in medians])
+    x = F.zip_with("cells", fill, lambda value, median: F.coalesce(value, median))
     return Matrix(stored.select(group, "src", "date", "job_count", x.alias("x")), group, tuple(columns), n_rows)

@@ -17,7 +17,7 @@ from tallywatch.operators.detectors.matrix import Matrix
 
 NU = 0.5
 COMPONENTS = 128
-STEPS = 15
+STEPS = 10
 SEED = 42
 
 

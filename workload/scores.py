@@ -10,7 +10,7 @@ from tallywatch.operators.detectors import build_matrix, resolve
 from tallywatch.operators.features import FEATURES
 from tallywatch.plans.detect import detect
 from workload.series import EVENT_FEATURES, FLAG_OUT, G, KEYS, _flag_select
-from workload.tables import day, events_daily, r6
+from workload.tables import day, events_daily, orders_daily, r6
 
 QUERIES, ORACLE = {}, {}
 
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 MATRIX = EVENT_FEATURES + f""",
 cells AS (
-  SELECT grp, src, date, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in FEATURES)}]) AS v0,
+  SELECT grp, src, date, unnest([{', '.join(f'round(CAST({c} AS DOUBLE), 9)' for c in FEATURES)}]) AS v0,
          unnest(range({len(FEATURES)})) AS f FROM feat),
 medians AS (SELECT f, quantile_cont(v0, 0.5) AS m FROM cells GROUP BY f),
 x AS (SELECT c.grp, c.src, c.date, c.f, coalesce(c.v0, m.m, 0.0) AS v FROM cells c JOIN medians m ON m.f = c.f),
@@ -107,11 +107,7 @@ SCALED = ("z_28", "mean_7", "month", "pct_chg_7")
 def minmax_scores(spark, sf):
     feat = features.build_features(events_daily(spark, sf), G).select(*KEYS, *SCALED)
     scaled = ensemble.minmax(ensemble.fill_scores(feat, list(SCALED), feat.count()), list(SCALED))
-    return day(scored_columns(scaled))
-
-
-def scored_columns(df):
-    return df.select(*KEYS, *[r6(c).alias(c) for c in SCALED])
+    return day(scaled).select(*KEYS, *[r6(c).alias(c) for c in SCALED])
 
 
 @query("aligned_score", f"""WITH {EVENT_FEATURES},
@@ -175,8 +171,6 @@ def ensemble_flags(spark, sf):
 @query("ensemble_flags_orders")
 def ensemble_flags_orders(spark, sf):
     """The same on the long order series, some twenty times as many segment-days."""
-    from workload.tables import orders_daily
-
     result = detect(orders_daily(spark, sf), G)
     scores = [c for c in result.columns if c.startswith("score_")]
     return day(result, "date", "date_only").withColumns({c: r6(c) for c in (*scores, "threshold")})

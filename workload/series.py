@@ -423,11 +423,13 @@ def alert_budget(spark, sf):
     return _flag_select(alerts.weekly_budget(_flagged(spark, sf), G, 1))
 
 
-@query("today_anomalies", f"""WITH {COOLED_1}
+@query("today_anomalies", f"""WITH {COOLED_1.replace("0.95", "0.7")}
 SELECT grp, src, CAST(date AS VARCHAR) AS date, job_count, round(score_ens, 6) + 0.0 AS score_ens FROM cooled
 WHERE is_anomaly = 1 AND date = (SELECT max(date) FROM cooled)""")
 def today_anomalies(spark, sf):
-    today = alerts.today_anomalies(alerts.cooldown(_flagged(spark, sf), G, 1), G)
+    """At the quantile 0.7, so that the latest day has alerts."""
+    flagged = alerts.flag(alerts.with_threshold(_scored(spark, sf), G, q=0.7))
+    today = alerts.today_anomalies(alerts.cooldown(flagged, G, 1), G)
     return day(today).withColumn("score_ens", r6("score_ens"))
 
 
@@ -538,13 +540,13 @@ def seasonal_burst(spark, sf):
     return found.withColumn("is_seasonal_burst", F.col("is_seasonal_burst").cast("int"))
 
 
-@query("volume_floor", f"""WITH {ORDERS_DAILY},
+@query("volume_floor", f"""WITH {LINEITEM_DAILY},
 recent AS (SELECT * FROM daily WHERE date > DATE '2001-06-30' - 30 AND date <= DATE '2001-06-30'),
 floors AS (SELECT *, sum(job_count) OVER (PARTITION BY grp, src) AS v,
                   var_pop(job_count) OVER (PARTITION BY grp, src) AS s FROM recent)
-SELECT CAST(date AS VARCHAR) AS date, grp, src, job_count FROM floors WHERE v >= 10 AND s >= 0.5""")
+SELECT CAST(date AS VARCHAR) AS date, grp, src, job_count FROM floors WHERE v >= 500 AND s >= 0.5""")
 def volume_floor(spark, sf):
-    return day(cleaning.segment_floors(orders_daily(spark, sf), G, as_of="2001-06-30"))
+    return day(cleaning.segment_floors(lineitem_daily(spark, sf), G, as_of="2001-06-30", min_volume=500))
 
 
 @query("quality_rules", f"""WITH {ORDERS_DAILY}, odd AS (
