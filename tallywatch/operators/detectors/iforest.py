@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.operators.detectors.matrix import Matrix
+from tallywatch.sources.scratch import spread
 
 TREES = 100
 SUBSAMPLE = 256
@@ -74,10 +75,7 @@ def fit(m: Matrix, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = S
         tree = _grow(np.stack(chosen["x"].to_numpy()), np.random.default_rng([seed, number]), limit)
         return pd.DataFrame({"tree": [number], **{key: [value] for key, value in tree.items()}})
 
-    # One small group per tree; a fixed partition count keeps them from being merged into one task.
-    tasks = min(trees, m.df.sparkSession.sparkContext.defaultParallelism)
-    picked = _subsamples(m, trees, subsample, seed).repartition(tasks, "tree")
-    grown = picked.groupBy("tree").applyInPandas(
+    grown = spread(_subsamples(m, trees, subsample, seed), "tree").groupBy("tree").applyInPandas(
         grow,
         "tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, length array<double>",
     )

@@ -4,8 +4,8 @@ comparing all pairs.
 Equal points are merged and carry a count. Space is cut into cells of bounded size
 by median splits learnt from a sample. Every point first searches its own cell; the
 distance found bounds its search, and it then visits only the cells whose bounding
-box lies within that distance. The cuts affect the work, never the result. One task
-holds at most two cells at a time.
+box lies within that distance. The cuts affect the work, never the result. A task
+holds one cell and a bounded number of its visitors at a time.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.joins import is_small, join_frequent_apart
+from tallywatch.functions.joins import join_frequent_apart
 from tallywatch.operators.detectors.matrix import Matrix
-from tallywatch.sources.scratch import materialise
+from tallywatch.sources.scratch import materialise, spread
 
 NEIGHBOURS = 5
-CELL_POINTS = 2_000
+CELL_POINTS = 500
 MAX_CELLS = 32_768
+MAX_VISITORS = 8_000
 SPLIT_SAMPLE = 20_000
 
 
@@ -71,32 +72,37 @@ def _leaf_of(tree):
     return leaf
 
 
-def _nearest(queries: np.ndarray, points: np.ndarray, copies: np.ndarray, k: int, same: bool) -> list[list[float]]:
-    """Up to ``k`` smallest squared distances of each query, points counted with copies.
+# Distances held at once; a block stays in the processor's cache.
+BLOCK = 100_000
 
-    With ``same`` the queries are the points, and each leaves out one copy of itself.
+
+def _nearest(queries: np.ndarray, points: np.ndarray, copies: np.ndarray, k: int, same: bool) -> np.ndarray:
+    """The ``k`` smallest squared distances of each query, points counted with copies.
+
+    Missing neighbours are infinitely far. With ``same`` the queries are the points,
+    and each leaves out one copy of itself.
     """
-    block = max(1, 4_000_000 // max(1, len(points)))
-    out = []
+    out = np.full((len(queries), k), np.inf)
+    take = min(k + 1, len(points))
+    block = max(1, BLOCK // len(points))
     for start in range(0, len(queries), block):
         part = queries[start:start + block]
         d2 = np.zeros((len(part), len(points)))
         for i in range(points.shape[1]):
             step = part[:, i, None] - points[None, :, i]
             d2 += step * step
-        take = min(k + 1, len(points))
         closest = np.argpartition(d2, take - 1, axis=1)[:, :take]
-        for r in range(len(part)):
-            idx = closest[r]
-            n = copies[idx].copy()
-            if same:
-                own = start + r
-                n[idx == own] -= 1
-                if own not in idx:
-                    # Equal distance 0 is impossible between distinct points.
-                    idx, n = np.append(idx, own), np.append(n, copies[own] - 1)
-            order = np.argsort(d2[r, idx], kind="stable")
-            out.append(np.repeat(d2[r, idx][order], np.minimum(n[order], k))[:k].tolist())
+        near = np.take_along_axis(d2, closest, axis=1)
+        order = np.argsort(near, axis=1, kind="stable")
+        closest, near = np.take_along_axis(closest, order, axis=1), np.take_along_axis(near, order, axis=1)
+        n = copies[closest]
+        if same:
+            n = n - (closest == np.arange(start, start + len(part))[:, None])
+        reached = n.cumsum(axis=1)
+        for j in range(k):
+            place = (reached <= j).sum(axis=1)
+            there = np.flatnonzero(place < take)
+            out[start + there, j] = near[there, place[there]]
     return out
 
 
@@ -126,73 +132,81 @@ def _stack(x: pd.Series) -> np.ndarray:
 
 def neighbour_distances(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_POINTS) -> DataFrame:
     """(x, n, distance) for each distinct point; with fewer than ``k`` others, the farthest."""
-    points = materialise(m.df.groupBy("x").agg(F.count("*").alias("n")), "points")
-    total = points.count()
-    cells = min(MAX_CELLS, -(-total // cell_points))
-    per_cell = 2 * max(cell_points, -(-total // MAX_CELLS))
-
-    if cells > 1:
-        every = max(1, total // SPLIT_SAMPLE)
-        rows = points.where(F.pmod(F.xxhash64("x"), F.lit(every)) == 0).select("x").collect()
-        tree = _median_splits(np.array([r[0] for r in rows]), cells)
-        placed = points.withColumn("leaf", _leaf_of(tree)("x"))
-        # A leaf the sample underestimated is divided by hash into cells of the intended size.
-        sizes = {r[0]: r[1] for r in placed.groupBy("leaf").count().collect()}
-        parts = [(leaf, -(-size // per_cell)) for leaf, size in sizes.items()]
-        schema = "leaf int, parts int"
-        divided = placed.join(F.broadcast(points.sparkSession.createDataFrame(parts, schema)), "leaf")
-        cell = F.col("leaf").cast("long") * MAX_CELLS + F.pmod(F.xxhash64("x", F.lit(1)), F.col("parts"))
-        points = materialise(divided.select("x", "n", cell.alias("cell")), "cells")
-    else:
-        points = points.withColumn("cell", F.lit(0).cast("long"))
+    points = _in_cells(m, cell_points)
 
     def own_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         x = _stack(pdf["x"])
         near = _nearest(x, x, pdf["n"].to_numpy(), k, same=True)
-        reach = [d[-1] if len(d) == k else float("inf") for d in near]
-        return pd.DataFrame({"x": pdf["x"], "n": pdf["n"], "cell": pdf["cell"], "near": near, "reach": reach})
+        return pd.DataFrame({"pid": pdf["pid"], "near": list(near)})
+
+    own = spread(points, "cell").groupBy("cell").applyInPandas(own_cell, "pid long, near array<double>")
+    own = materialise(own, "near")
+    near = own.unionByName(_other_cells(points, own, m.width, k))
+    real = F.sort_array(F.filter(F.flatten(F.collect_list("near")), lambda d: d < float("inf")))
+    kth = near.groupBy("pid").agg(real.alias("near")).select(
+        "pid", F.coalesce(F.sqrt(F.get("near", F.least(F.lit(k), F.size("near")) - 1)), F.lit(0.0)).alias("distance")
+    )
+    return materialise(points.select("pid", "x", "n").join(kth, "pid").drop("pid"), "distances")
 
-    found = points.groupBy("cell").applyInPandas(
-        own_cell, "x array<double>, n long, cell long, near array<double>, reach double"
+
+def _in_cells(m: Matrix, cell_points: int) -> DataFrame:
+    """(pid, x, n, cell): the distinct points, their number of rows and their cell."""
+    distinct = spread(m.df.groupBy("x").agg(F.count("*").alias("n")), "x")
+    points = materialise(distinct.withColumn("pid", F.monotonically_increasing_id()), "points")
+    total = points.count()
+    cells = min(MAX_CELLS, -(-total // cell_points))
+    per_cell = 2 * max(cell_points, -(-total // MAX_CELLS))
+    if cells <= 1:
+        return points.withColumn("cell", F.lit(0).cast("long"))
+
+    every = max(1, total // SPLIT_SAMPLE)
+    rows = points.where(F.pmod(F.xxhash64("x"), F.lit(every)) == 0).select("x").collect()
+    tree = _median_splits(np.array([r[0] for r in rows]), cells)
+    placed = materialise(points.withColumn("leaf", _leaf_of(tree)("x")), "leaves")
+    # A leaf the sample underestimated is divided by hash into cells of the intended
+    # size. There are at most MAX_CELLS leaves.
+    sizes = placed.groupBy("leaf").agg(F.count("*").alias("size"))
+    parts = F.ceil(F.col("size") / per_cell)
+    return placed.join(F.broadcast(sizes), "leaf").select(
+        "pid", "x", "n", (F.col("leaf").cast("long") * MAX_CELLS + F.pmod("pid", parts)).alias("cell")
     )
-    if cells > 1:
-        found = materialise(found, "near")
-        near = found.select("x", "near").unionByName(_other_cells(points, found, m.width, k))
-        near = near.groupBy("x").agg(F.flatten(F.collect_list("near")).alias("near"))
-        found = near.join(points.select("x", "n"), "x")
-    ordered = F.array_sort("near")
-    kth = F.get(ordered, F.least(F.lit(k), F.size("near")) - 1)
-    return found.select("x", "n", F.coalesce(F.sqrt(kth), F.lit(0.0)).alias("distance"))
-
-
-def _other_cells(points: DataFrame, found: DataFrame, width: int, k: int) -> DataFrame:
-    """Neighbours of each point in the cells within its reach, other than its own."""
+
+
+def _other_cells(points: DataFrame, own: DataFrame, width: int, k: int) -> DataFrame:
+    """(pid, near): neighbours of each point in the cells within its reach, other than its own."""
     x = F.col("x")
     boxes = points.groupBy("cell").agg(
         F.array(*[F.min(x[i]) for i in range(width)]).alias("lo"),
         F.array(*[F.max(x[i]) for i in range(width)]).alias("hi"),
     ).collect()
+    schema = "pid long, near array<double>"
+    if len(boxes) <= 1:
+        return own.sparkSession.createDataFrame([], schema)
     ids = np.array([b["cell"] for b in boxes])
     lo, hi = np.array([b["lo"] for b in boxes]), np.array([b["hi"] for b in boxes])
 
-    visits = materialise(
-        found.select("x", "cell", F.explode(_cells_within(ids, lo, hi)("x", "cell", "reach")).alias("target")),
-        "visits",
+    reaching = points.join(own.select("pid", F.element_at("near", -1).alias("reach")), "pid")
+    targets = _cells_within(ids, lo, hi)("x", "cell", "reach")
+    visits = materialise(reaching.select("pid", "x", F.explode(targets).alias("target")), "visits")
+    # The visitors of a cell are divided by hash into chunks of bounded size, each of
+    # which meets a copy of the cell. There are at most as many rows as boxes.
+    chunks = F.ceil(F.count("*") / MAX_VISITORS).cast("int").alias("chunks")
+    loads = F.broadcast(visits.groupBy("target").agg(chunks))
+    queries = visits.join(loads, "target").select(
+        "pid", "x", "target", F.pmod(F.xxhash64("pid"), "chunks").cast("int").alias("chunk")
+    )
+    hosts = points.select(F.col("cell").alias("target"), "x", "n").join(loads, "target").select(
+        F.col("target").alias("host"), "x", "n", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part")
     )
-    # Queries of one cell meet the points of one other cell, so a group is bounded
-    # by two cells even where every cell visits the same one.
-    pairs = visits.select(F.col("cell").alias("home"), F.col("target").alias("host")).distinct()
-    pairs = F.broadcast(pairs) if is_small(pairs) else pairs
-    hosts = points.select(F.col("cell").alias("host"), "x", "n").join(pairs, "host")
 
     def search(queries: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         near = _nearest(_stack(queries["x"]), _stack(others["x"]), others["n"].to_numpy(), k, same=False)
-        return pd.DataFrame({"x": queries["x"], "near": near})
+        return pd.DataFrame({"pid": queries["pid"], "near": list(near)})
 
     return (
-        visits.groupBy("cell", "target")
-        .cogroup(hosts.groupBy("home", "host"))
-        .applyInPandas(search, "x array<double>, near array<double>")
+        spread(queries, "target", "chunk").groupBy("target", "chunk")
+        .cogroup(spread(hosts, "host", "part").groupBy("host", "part"))
+        .applyInPandas(search, schema)
     )
 
 

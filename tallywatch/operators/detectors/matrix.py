@@ -33,10 +33,11 @@ class Matrix:
 
 
 def build_matrix(features: DataFrame, group: str, columns: tuple[str, ...] = FEATURES) -> Matrix:
-    """Write the features once and fill each null with the median of its column.
+    """Fill each null feature with the median of its column and write the result.
 
     The medians are over all segments. A column without any value becomes 0. Values
-    are rounded to nine decimals, so that ranks see equal values as equal.
+    are rounded to nine decimals, so that ranks see equal values as equal. Detectors
+    read the matrix many times, hence the written tables.
     """
     cells = F.array(*[F.round(F.col(c).cast("double"), DECIMALS) for c in columns])
     stored = materialise(features.select(group, "src", "date", "job_count", cells.alias("cells")), "features")
@@ -45,4 +46,5 @@ def build_matrix(features: DataFrame, group: str, columns: tuple[str, ...] = FEA
     medians = exact_quantiles(spread, spread.columns, 0.5, n_rows).first()
     fill = F.array(*[F.lit(float(v) if v is not None else 0.0) for v in medians])
     x = F.zip_with("cells", fill, lambda value, median: F.coalesce(value, median))
-    return Matrix(stored.select(group, "src", "date", "job_count", x.alias("x")), group, tuple(columns), n_rows)
+    matrix = materialise(stored.select(group, "src", "date", "job_count", x.alias("x")), "matrix")
+    return Matrix(matrix, group, tuple(columns), n_rows)

@@ -39,3 +39,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition by ``columns`` over all cores.
+
+    For steps that are heavy per row: merging partitions by their size in bytes
+    would leave such work to a few tasks. A later window or grouping on the same
+    columns needs no further shuffle.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
