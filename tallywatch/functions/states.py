@@ -53,7 +53,8 @@ def valid_state(col: Column) -> Column:
 
 def state_code_in(text: Column) -> Column:
     """The first state code that stands as a word of its own in ``text``."""
-    return F.nullif(F.regexp_extract(text, CODE_PATTERN, 1), F.lit(""))
+    # Null without a match, and the pattern is evaluated once.
+    return F.get(F.regexp_extract_all(text, F.lit(CODE_PATTERN), 1), F.lit(0))
 
 
 def state_name_in(text: Column) -> Column:

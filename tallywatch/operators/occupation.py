@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.text import rollup_soc
-from tallywatch.operators.cleaning import default_job_count, drop_null_keys
+from tallywatch.operators.cleaning import default_job_count
+from tallywatch.operators.daily import daily_sums
 
 LOW_VOLUME = 50.0
 
@@ -53,11 +54,7 @@ def roll_low_volume(days: DataFrame, level: int = 1, below: float = LOW_VOLUME)
 
 def daily_rolled_counts(rolled: DataFrame) -> DataFrame:
     """Job counts per (date, rolled code, src)."""
-    keys = ["date", "nlp_soc_code_rolled", "src"]
-    return (
-        drop_null_keys(rolled, keys).groupBy(*keys)
-        .agg(F.sum("job_count").cast("long").alias("job_count"))
-    )
+    return daily_sums(rolled, "nlp_soc_code_rolled")
 
 
 def rollup_comparison(rolled: DataFrame) -> DataFrame:
