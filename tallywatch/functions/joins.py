@@ -29,13 +29,17 @@ def lookup(facts: DataFrame, key: str, table: DataFrame, max_rows: int = BROADCA
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
-def join_frequent_apart(facts: DataFrame, table: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+def join_frequent_apart(facts: DataFrame, table: DataFrame, on: list[str], weight: str, total: int,
+                        max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inner join of ``facts`` with a table holding every key once and its row count.
 
-    Keys with at least 1/1000 of all ``total`` rows number at most 1000 per
-    distinct leading key column, so they are broadcast; all other keys are rare
-    enough for a shuffle join. Every fact row matches exactly one of the two.
+    A table within ``max_rows`` is broadcast. Of a larger one, the keys with at least
+    1/1000 of all ``total`` rows are broadcast, of which there are at most 1000 per
+    value of the other key columns; all other keys are rare enough for a shuffle
+    join. Every fact row matches exactly one of the two. ``facts`` is then read twice.
     """
+    if is_small(table, max_rows):
+        return facts.join(F.broadcast(table.drop(weight)), on)
     frequent = F.col(weight) * HOT_SHARE >= F.lit(total)
     hot = table.where(frequent).drop(weight)
     cold = table.where(~frequent).drop(weight)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.joins import BROADCAST_ROWS, is_small, join_frequent_apart
+from tallywatch.functions.joins import BROADCAST_ROWS, join_frequent_apart
 from tallywatch.functions.ranks import RANGE_ROWS, running_counts, value_counts
 from tallywatch.operators.detectors.matrix import Matrix
 from tallywatch.sources.scratch import materialise
@@ -32,10 +32,7 @@ def fit(m: Matrix, range_rows: int = RANGE_ROWS, broadcast_rows: int = BROADCAST
     # A constant feature has no skewness; both its tails are 0.
     leftward = [i for i, s in enumerate(skews) if s is not None and s < 0]
     skewed = F.when(F.col("feature").isin(*leftward), F.col("left")).otherwise(F.col("right"))
-    if is_small(tails, broadcast_rows):
-        found = cells.join(F.broadcast(tails.drop("n")), ["feature", "value"])
-    else:
-        found = join_frequent_apart(cells, tails, ["feature", "value"], "n", m.n_rows)
+    found = join_frequent_apart(cells, tails, ["feature", "value"], "n", m.n_rows, broadcast_rows)
     scores = found.groupBy(*m.keys).agg(
         F.greatest(F.sum("left"), F.sum("right"), F.sum(skewed)).alias("score")
     )

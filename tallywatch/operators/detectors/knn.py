@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.joins import join_frequent_apart
+from tallywatch.functions.joins import BROADCAST_ROWS, join_frequent_apart
 from tallywatch.operators.detectors.matrix import Matrix
 from tallywatch.sources.scratch import materialise, spread
 
@@ -210,11 +210,11 @@ def _other_cells(points: DataFrame, own: DataFrame, width: int, k: int) -> DataF
     )
 
 
-def fit(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_POINTS):
+def fit(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_POINTS, broadcast_rows: int = BROADCAST_ROWS):
     distances = neighbour_distances(m, k, cell_points)
+    rows = join_frequent_apart(m.df.select(*m.keys, "x"), distances, ["x"], "n", m.n_rows, broadcast_rows).drop("x")
 
     def score(df: DataFrame, name: str) -> DataFrame:
-        table = distances.withColumnRenamed("distance", name)
-        return join_frequent_apart(df, table, ["x"], "n", m.n_rows)
+        return df.join(rows.withColumnRenamed("distance", name), m.keys, "left")
 
     return score

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions import arrays, dates
 from tallywatch.operators.cleaning import drop_null_keys
-from tallywatch.sources.scratch import spread
 
 FEATURES = (
     "job_count", "mean_7", "mean_14", "mean_28", "std_7", "std_28", "mad_28",
@@ -92,7 +91,6 @@ def derived_columns(value: str = "job_count") -> dict[str, Column]:
 def add_features(daily: DataFrame, group: str, extra: dict[str, Column] | None = None) -> DataFrame:
     """Segment, date, the 18 features and any extra columns, warm-up rows included."""
     rows = drop_null_keys(daily, [group, "src", "date"]).select(group, "src", "date", "job_count")
-    rows = spread(rows, group, "src")
     full = rows.withColumns(rolling_columns(group)).withColumns(derived_columns())
     full = full.select(group, "src", "date", *FEATURES)
     return full.withColumns(extra) if extra else full

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallywatch.operators import alerts, ensemble
 from tallywatch.operators.detectors import DEFAULT_MODELS, build_matrix, resolve
 from tallywatch.operators.features import FEATURES, build_features, fill_calendar
-from tallywatch.sources.scratch import materialise
+from tallywatch.operators.history import last_n_dates
+from tallywatch.sources.scratch import materialise, spread
 
 
 def _result_columns(group: str, scores: list[str]) -> list[str]:
@@ -44,14 +45,20 @@ def score_history(history: DataFrame, group: str, models: Iterable[str] = DEFAUL
 def detect(history: DataFrame, group: str, models: Iterable[str] = DEFAULT_MODELS,
            quantile_bounds: tuple[float, float] = (0.95, 0.999), cooldown_days: int = 1,
            weekly_alerts: int | None = None, dense_calendar: bool = False,
-           extra_features: dict[str, Column] | None = None) -> DataFrame:
+           extra_features: dict[str, Column] | None = None, n_dates: int | None = None) -> DataFrame:
     """Score and flag every (segment, day) of a daily history.
 
     Only the lower quantile bound sets the threshold. ``weekly_alerts`` applies an
-    alert budget after the cooldown and is off by default.
+    alert budget after the cooldown and is off by default, and so is ``n_dates``,
+    which keeps the newest dates of each segment only. The history is partitioned
+    by segment once, which the trim and all feature windows then share.
     """
     models = list(models)
-    days = fill_calendar(history, group) if dense_calendar else history
+    days = spread(history, group, "src")
+    if n_dates is not None:
+        days = last_n_dates(days, group, n_dates)
+    if dense_calendar:
+        days = fill_calendar(days, group)
     scored, columns = score_history(days, group, models, extra_features)
     flagged = alerts.flag(alerts.with_threshold(scored, group, q=quantile_bounds[0]))
     flagged = alerts.cooldown(flagged, group, cooldown_days)

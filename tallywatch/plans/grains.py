@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.text import rollup_soc
 from tallywatch.operators import cleaning, daily, geography, occupation, reports
+from tallywatch.operators.history import HISTORY_DATES
 from tallywatch.plans.detect import detect
 from tallywatch.sources import ledger, sinks
 
@@ -83,12 +84,13 @@ class Run:
 
 
 def run_grain(spark: SparkSession, grain: str, postings: DataFrame, ledger_path: str, batch_id: str,
-              out_path: str, run_date: dt.date, maps: Maps = Maps(), **detect_options) -> Run:
-    """Clean, count, add to the ledger, load the trimmed history, detect and write."""
+              out_path: str, run_date: dt.date, maps: Maps = Maps(), n_dates: int = HISTORY_DATES,
+              **detect_options) -> Run:
+    """Clean, count, add to the ledger, load and trim the history, detect and write."""
     spec = GRAINS[grain]
     ledger.add_batch(spec.daily(postings, maps), ledger_path, spec.group, batch_id)
-    history = ledger.load_history(spark, ledger_path, spec.group)
-    result = detect(history, spec.group, **detect_options)
+    history = ledger.read_history(spark, ledger_path, spec.group)
+    result = detect(history, spec.group, n_dates=n_dates, **detect_options)
     sinks.write_result_csv(result, spec.group, f"{out_path}/anomalies_{grain}")
     today = sinks.write_today_csv(result, spec.group, out_path, grain, run_date)
     bounds = detect_options.get("quantile_bounds", (0.95, 0.999))

@@ -41,8 +41,9 @@ def test_running_counts(spark, range_rows):
 def test_hot_keys_join_once(spark):
     facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     keys = facts.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") * 2)
-    out = joins.join_frequent_apart(facts, keys, ["k"], "n", 3000)
-    assert out.count() == 3000 and out.where("v = 2 * k").count() == 3000
+    for max_rows in (10_000, 10):
+        out = joins.join_frequent_apart(facts, keys, ["k"], "n", 3000, max_rows)
+        assert out.count() == 3000 and out.where("v = 2 * k").count() == 3000
 
 
 @pytest.mark.parametrize("limit", [100, 1])
@@ -59,8 +60,9 @@ def matrix_of(spark, x):
     return Matrix(df.withColumn("job_count", F.lit(0).cast("long")), "grp", tuple("abc"), len(x))
 
 
-@pytest.mark.parametrize("cell_points", [10_000, 60, 9])
-def test_knn_equals_brute_force(spark, cell_points):
+@pytest.mark.parametrize("cell_points, broadcast_rows", [(10_000, 10_000), (60, 10), (9, 10)])
+def test_knn_equals_brute_force(spark, cell_points, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(knn, "MAX_VISITORS", 20)
     rng = np.random.default_rng(3)
     x = np.concatenate([
         rng.normal(size=(250, 3)) * [100, 1, 10],
@@ -68,7 +70,7 @@ def test_knn_equals_brute_force(spark, cell_points):
         np.tile([500.0, 0.0, 0.0], (3, 1)),
         rng.integers(0, 3, size=(60, 3)).astype(float),
     ])
-    out = knn.fit(matrix_of(spark, x), 5, cell_points)(matrix_of(spark, x).df, "d").collect()
+    out = knn.fit(matrix_of(spark, x), 5, cell_points, broadcast_rows)(matrix_of(spark, x).df, "d").collect()
     assert len(out) == len(x)
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
     np.fill_diagonal(d, np.inf)

@@ -9,6 +9,7 @@ from tallywatch.operators import ensemble, features
 from tallywatch.operators.detectors import build_matrix, resolve
 from tallywatch.operators.features import FEATURES
 from tallywatch.plans.detect import detect
+from tallywatch.sources.scratch import spread
 from workload.series import EVENT_FEATURES, FLAG_OUT, G, KEYS, _flag_select
 from workload.tables import day, events_daily, orders_daily, r6
 
@@ -65,7 +66,7 @@ knn AS (SELECT grp, src, date, list_sort(list(d))[5] AS score_knn FROM pairs GRO
 
 
 def _matrix(spark, sf):
-    return build_matrix(features.build_features(events_daily(spark, sf), G), G)
+    return build_matrix(features.build_features(spread(events_daily(spark, sf), G, "src"), G), G)
 
 
 def _score(spark, sf, name: str):
