@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SMALL_ROWS = 50_000
 RANGE_ROWS = 500_000
 MAX_RANGES = 512
 CUT_SAMPLE = 20_000
@@ -68,10 +69,14 @@ def running_counts(counts: DataFrame, n_rows: int, range_rows: int = RANGE_ROWS)
     )
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], q: float, n_rows: int,
+def exact_quantiles(df: DataFrame, columns: list[str], q: float, n_rows: int, small_rows: int = SMALL_ROWS,
                     range_rows: int = RANGE_ROWS) -> DataFrame:
-    """One row holding the interpolated ``q`` quantile of every column, nulls skipped."""
-    if n_rows <= range_rows:
+    """One row holding the interpolated ``q`` quantile of every column, nulls skipped.
+
+    Up to ``small_rows`` rows Spark's own aggregate does it, which holds all distinct
+    values of all columns in one task.
+    """
+    if n_rows <= small_rows:
         return df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(q)).alias(c) for c in columns])
     ranked = running_counts(value_counts(stack_columns(df, columns)), n_rows, range_rows)
     sized = ranked.groupBy("feature").agg(F.sum("n").alias("cells"))

@@ -10,6 +10,8 @@ holds one cell and a bounded number of its visitors at a time.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,38 +23,42 @@ from tallywatch.sources.scratch import materialise, spread
 
 NEIGHBOURS = 5
 CELL_POINTS = 500
+ONE_CELL = 4
 MAX_CELLS = 32_768
 MAX_VISITORS = 8_000
 SPLIT_SAMPLE = 20_000
+SAMPLE_PER_CELL = 4
 
 
 def _median_splits(sample: np.ndarray, cells: int) -> dict[str, np.ndarray]:
-    """A binary tree of (dimension, cut) nodes with about ``cells`` leaves.
+    """A binary tree of (dimension, cut) nodes with at most ``cells`` leaves.
 
     Always halves the leaf with most sample points, on its widest dimension.
     """
-    dims, cuts, left, right = [-1], [0.0], [-1], [-1]
-    leaves = {0: np.arange(len(sample))}
-    stuck = set()
-    while len(leaves) < cells and len(stuck) < len(leaves):
-        node = max((n for n in leaves if n not in stuck), key=lambda n: len(leaves[n]))
-        points = sample[leaves[node]]
-        spread = points.max(axis=0) - points.min(axis=0) if len(points) else np.zeros(sample.shape[1])
-        if len(points) < 2 or spread.max() <= 0:
-            stuck.add(node)
+    dim, cut, left, right = [-1], [0.0], [-1], [-1]
+    members = {0: np.arange(len(sample))}
+    largest = [(-len(sample), 0)]
+    leaves = 1
+    while largest and leaves < cells:
+        node = heapq.heappop(largest)[1]
+        points = sample[members[node]]
+        spread_of = np.ptp(points, axis=0) if len(points) > 1 else np.zeros(sample.shape[1])
+        if spread_of.max() <= 0:
             continue
-        dim = int(spread.argmax())
-        cut = float(np.median(points[:, dim]))
-        below = points[:, dim] < cut
-        if not below.any():
-            cut = float(points[points[:, dim] > cut, dim].min())
-            below = points[:, dim] < cut
-        members = leaves.pop(node)
-        for child in (members[below], members[~below]):
-            dims.append(-1), cuts.append(0.0), left.append(-1), right.append(-1)
-            leaves[len(dims) - 1] = child
-        dims[node], cuts[node], left[node], right[node] = dim, cut, len(dims) - 2, len(dims) - 1
-    return {"dim": np.array(dims), "cut": np.array(cuts), "left": np.array(left), "right": np.array(right)}
+        widest = int(spread_of.argmax())
+        values = points[:, widest]
+        middle = float(np.median(values))
+        # At least one point on either side.
+        at = middle if (values < middle).any() else float(values[values > middle].min())
+        below = values < at
+        rows = members.pop(node)
+        dim[node], cut[node], left[node], right[node] = widest, at, len(dim), len(dim) + 1
+        for part in (rows[below], rows[~below]):
+            members[len(dim)] = part
+            heapq.heappush(largest, (-len(part), len(dim)))
+            dim.append(-1), cut.append(0.0), left.append(-1), right.append(-1)
+        leaves += 1
+    return {"dim": np.array(dim), "cut": np.array(cut), "left": np.array(left), "right": np.array(right)}
 
 
 def _leaf_of(tree):
@@ -132,16 +138,17 @@ def _stack(x: pd.Series) -> np.ndarray:
 
 def neighbour_distances(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_POINTS) -> DataFrame:
     """(x, n, distance) for each distinct point; with fewer than ``k`` others, the farthest."""
-    points = _in_cells(m, cell_points)
+    points, cells = _in_cells(m, cell_points)
 
     def own_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         x = _stack(pdf["x"])
         near = _nearest(x, x, pdf["n"].to_numpy(), k, same=True)
         return pd.DataFrame({"pid": pdf["pid"], "near": list(near)})
 
-    own = spread(points, "cell").groupBy("cell").applyInPandas(own_cell, "pid long, near array<double>")
-    own = materialise(own, "near")
-    near = own.unionByName(_other_cells(points, own, m.width, k))
+    near = spread(points, "cell").groupBy("cell").applyInPandas(own_cell, "pid long, near array<double>")
+    if cells > 1:
+        own = materialise(near, "near")
+        near = own.unionByName(_other_cells(points, own, m.width, k))
     real = F.sort_array(F.filter(F.flatten(F.collect_list("near")), lambda d: d < float("inf")))
     kth = near.groupBy("pid").agg(real.alias("near")).select(
         "pid", F.coalesce(F.sqrt(F.get("near", F.least(F.lit(k), F.size("near")) - 1)), F.lit(0.0)).alias("distance")
@@ -149,17 +156,18 @@ def neighbour_distances(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_
     return materialise(points.select("pid", "x", "n").join(kth, "pid").drop("pid"), "distances")
 
 
-def _in_cells(m: Matrix, cell_points: int) -> DataFrame:
-    """(pid, x, n, cell): the distinct points, their number of rows and their cell."""
+def _in_cells(m: Matrix, cell_points: int) -> tuple[DataFrame, int]:
+    """(pid, x, n, cell): the distinct points, their number of rows and their cell; and
+    the number of cells aimed at, which is one for few points."""
     distinct = spread(m.df.groupBy("x").agg(F.count("*").alias("n")), "x")
     points = materialise(distinct.withColumn("pid", F.monotonically_increasing_id()), "points")
     total = points.count()
     cells = min(MAX_CELLS, -(-total // cell_points))
     per_cell = 2 * max(cell_points, -(-total // MAX_CELLS))
-    if cells <= 1:
-        return points.withColumn("cell", F.lit(0).cast("long"))
+    if total <= ONE_CELL * cell_points:
+        return points.withColumn("cell", F.lit(0).cast("long")), 1
 
-    every = max(1, total // SPLIT_SAMPLE)
+    every = max(1, total // max(SPLIT_SAMPLE, SAMPLE_PER_CELL * cells))
     rows = points.where(F.pmod(F.xxhash64("x"), F.lit(every)) == 0).select("x").collect()
     tree = _median_splits(np.array([r[0] for r in rows]), cells)
     placed = materialise(points.withColumn("leaf", _leaf_of(tree)("x")), "leaves")
@@ -167,9 +175,8 @@ def _in_cells(m: Matrix, cell_points: int) -> DataFrame:
     # size. There are at most MAX_CELLS leaves.
     sizes = placed.groupBy("leaf").agg(F.count("*").alias("size"))
     parts = F.ceil(F.col("size") / per_cell)
-    return placed.join(F.broadcast(sizes), "leaf").select(
-        "pid", "x", "n", (F.col("leaf").cast("long") * MAX_CELLS + F.pmod("pid", parts)).alias("cell")
-    )
+    cell = F.col("leaf").cast("long") * MAX_CELLS + F.pmod("pid", parts)
+    return placed.join(F.broadcast(sizes), "leaf").select("pid", "x", "n", cell.alias("cell")), cells
 
 
 def _other_cells(points: DataFrame, own: DataFrame, width: int, k: int) -> DataFrame:
@@ -179,9 +186,6 @@ def _other_cells(points: DataFrame, own: DataFrame, width: int, k: int) -> DataF
         F.array(*[F.min(x[i]) for i in range(width)]).alias("lo"),
         F.array(*[F.max(x[i]) for i in range(width)]).alias("hi"),
     ).collect()
-    schema = "pid long, near array<double>"
-    if len(boxes) <= 1:
-        return own.sparkSession.createDataFrame([], schema)
     ids = np.array([b["cell"] for b in boxes])
     lo, hi = np.array([b["lo"] for b in boxes]), np.array([b["hi"] for b in boxes])
 
@@ -206,7 +210,7 @@ def _other_cells(points: DataFrame, own: DataFrame, width: int, k: int) -> DataF
     return (
         spread(queries, "target", "chunk").groupBy("target", "chunk")
         .cogroup(spread(hosts, "host", "part").groupBy("host", "part"))
-        .applyInPandas(search, schema)
+        .applyInPandas(search, "pid long, near array<double>")
     )
 
 

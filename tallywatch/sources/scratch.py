@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``. Like Spark's own checkpoints, what is
+    written there stays until the folder is cleared.
 
     Only a local-mode session may go without the setting; it then gets a
     temporary folder, because driver and executors share one machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="tallywatch-")

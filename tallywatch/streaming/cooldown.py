@@ -24,7 +24,8 @@ def stream_cooldown(alerts: DataFrame, group: str, days: int = 1) -> DataFrame:
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
         kept = []
-        for day in sorted(day for frame in frames for day in frame["date"]):
+        # Distinct days, so a segment takes no more memory than the calendar has days.
+        for day in sorted({day for frame in frames for day in frame["date"]}):
             number = (day - _EPOCH).days
             if days <= 0 or last is None or number - last > days:
                 kept.append(day)

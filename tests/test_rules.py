@@ -1,12 +1,13 @@
 """Cleaning, geography, occupation, feature and alert rules on hand-made rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallywatch.functions import dates, text
+from tallywatch.functions import arrays, dates, text
 from tallywatch.operators import alerts, audit, cleaning, daily, ensemble, features, geography, history, occupation
 from tallywatch.schemas import ZIP_FIX, ZIP_STATE, conform, require_columns
 from tallywatch.schemas import daily as daily_schema
@@ -257,3 +258,36 @@ def test_batch_split_does_not_matter(spark):
     whole = daily.daily_counts(df, "grp")
     parts = daily.accumulate([daily.daily_counts(df.where(F.col("id") % 7 == i), "grp") for i in range(7)], "grp")
     assert whole.exceptAll(parts).isEmpty() and parts.exceptAll(whole).isEmpty()
+
+
+def test_spaced_dates_on_random_cases(spark):
+    rng = random.Random(5)
+    cases = []
+    for i in range(400):
+        gap = rng.randint(1, 6)
+        offsets = sorted(rng.sample(range(40), rng.randint(0, 25)))
+        kept = []
+        for day in offsets:
+            if not kept or day - kept[-1] > gap:
+                kept.append(day)
+        shuffled = rng.sample(offsets, len(offsets))
+        cases.append((gap, [START + dt.timedelta(d) for d in shuffled], [START + dt.timedelta(d) for d in kept]))
+    df = spark.createDataFrame(cases, "gap int, found array<date>, want array<date>")
+    for gap in range(1, 7):
+        got = df.where(F.col("gap") == gap).select("want", arrays.spaced_dates(F.col("found"), gap).alias("got"))
+        assert got.where("want != got").isEmpty()
+
+
+def test_rollup_conserves_counts(spark):
+    rows = [(START, f"{11 + i % 3}-10{i % 40:02d}", "x", i % 9) for i in range(500)]
+    df = spark.createDataFrame(rows, "date date, nlp_soc_code string, src string, job_count long")
+    rolled = occupation.roll_low_volume(occupation.code_days(df), below=4.0)
+    assert daily.daily_sums(rolled, "nlp_soc_code_rolled").agg(F.sum("job_count")).first()[0] == sum(r[3] for r in rows)
+    after = {r["nlp_soc_code_rolled"]: r["job_count_after"] for r in occupation.rollup_comparison(rolled).collect()}
+    assert sum(after.values()) == sum(r[3] for r in rows)
+
+
+def test_array_statistics(spark):
+    df = spark.createDataFrame([([3, 1, 2],), ([4, 1],), ([],), ([5, 5, 5, 9],)], "v array<long>")
+    got = [tuple(r) for r in df.select(arrays.array_median(F.col("v")), arrays.array_mad(F.col("v"))).collect()]
+    assert got == [(2.0, 1.0), (2.5, 1.5), (None, None), (5.0, 0.0)]

@@ -15,15 +15,15 @@ def table(spark, values):
     return spark.createDataFrame([(float(a), None if b is None else float(b)) for a, b in values], "a double, b double")
 
 
-@pytest.mark.parametrize("range_rows", [1_000_000, 50, 7])
-def test_exact_quantiles(spark, range_rows):
+@pytest.mark.parametrize("small_rows, range_rows", [(1_000_000, 1), (1, 1_000_000), (1, 50), (1, 7)])
+def test_exact_quantiles(spark, small_rows, range_rows):
     rng = np.random.default_rng(1)
     # A third of all rows hold one value.
     a = np.where(rng.random(900) < 0.34, 5.0, rng.integers(0, 200, 900))
     b = [None if i % 10 == 0 else v for i, v in enumerate(rng.normal(size=900))]
     df = table(spark, list(zip(a, b)))
     for q in (0.0, 0.5, 0.95, 1.0):
-        got = ranks.exact_quantiles(df, ["a", "b"], q, 900, range_rows).first()
+        got = ranks.exact_quantiles(df, ["a", "b"], q, 900, small_rows, range_rows).first()
         assert got["a"] == pytest.approx(np.quantile(a, q))
         assert got["b"] == pytest.approx(np.quantile([v for v in b if v is not None], q))
 
