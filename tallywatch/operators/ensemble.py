@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.ranks import exact_quantiles
 from tallywatch.operators.detectors import DEFAULT_MODELS, Matrix, resolve
 
 
+SCORE_DECIMALS = 9
+
+
+def comparable(score: Column) -> Column:
+    """A score rounded so that equal scores do not fall on both sides of their own quantile."""
+    return F.round(score, SCORE_DECIMALS)
+
+
 def raw_scores(m: Matrix, models: Iterable[str] = DEFAULT_MODELS) -> tuple[DataFrame, list[str]]:
     """The matrix with one ``score_<name>`` column per detector, and their names.
 
@@ -58,7 +66,7 @@ def minmax(scored: DataFrame, columns: list[str]) -> DataFrame:
 def mean_score(scored: DataFrame, columns: list[str]) -> DataFrame:
     """``score_ens``: the mean of the scaled scores of a row."""
     total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
-    return scored.withColumn("score_ens", total / len(columns))
+    return scored.withColumn("score_ens", comparable(total / len(columns)))
 
 
 def align_direction(scored: DataFrame, score: str, label: str) -> DataFrame:

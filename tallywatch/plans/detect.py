@@ -71,7 +71,8 @@ def detect_zscore(history: DataFrame, group: str, q: float = 0.95, cooldown_days
     """The same run with the absolute 28-row z-score as the only score."""
     features = build_features(history, group)
     scored = features.select(
-        group, "src", "date", "job_count", F.coalesce(F.abs("z_28"), F.lit(0.0)).alias("score_ens")
+        group, "src", "date", "job_count",
+        ensemble.comparable(F.coalesce(F.abs("z_28"), F.lit(0.0))).alias("score_ens"),
     )
     flagged = alerts.flag(alerts.with_threshold(scored, group, q=q))
     return alerts.cooldown(flagged, group, cooldown_days)

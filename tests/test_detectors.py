@@ -69,7 +69,7 @@ def test_kept_alerts_are_apart(result):
 def test_ensemble_is_the_mean(result):
     scores = [F.col(f"score_{m}") for m in detectors.DEFAULT_MODELS]
     gap = F.abs(sum(scores[1:], scores[0]) / len(scores) - F.col("score_ens"))
-    assert result.agg(F.max(gap)).first()[0] < 1e-12
+    assert result.agg(F.max(gap)).first()[0] < 1e-8
 
 
 def test_same_seed_same_scores(matrix):

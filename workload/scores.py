@@ -138,7 +138,7 @@ unit AS (
   FROM hbos h JOIN copod c ON c.grp = h.grp AND c.src = h.src AND c.date = h.date
   JOIN knn k ON k.grp = h.grp AND k.src = h.src AND k.date = h.date),
 bounded AS (
-  SELECT u.*, f.job_count, (score_hbos + score_copod + score_knn) / 3 AS score_ens
+  SELECT u.*, f.job_count, round((score_hbos + score_copod + score_knn) / 3, 9) AS score_ens
   FROM unit u JOIN feat f ON f.grp = u.grp AND f.src = u.src AND f.date = u.date),
 flagged AS (
   SELECT *, CASE WHEN score_ens >= threshold THEN 1 ELSE 0 END AS is_anomaly FROM (

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallywatch.operators import alerts, audit, cleaning, daily, features, history, reports
+from tallywatch.operators import alerts, audit, cleaning, daily, ensemble, features, history, reports
 from tallywatch.operators.detectors import bands
 from tallywatch.functions import dates, text
 from tallywatch.plans.detect import detect_zscore
@@ -302,7 +302,7 @@ def external_series(spark, sf):
 # ---- scores, thresholds, alerts ----
 
 SCORED = EVENT_FEATURES + """,
-scored AS (SELECT grp, src, date, job_count, coalesce(abs(z_28), 0.0) AS score_ens FROM feat),
+scored AS (SELECT grp, src, date, job_count, round(coalesce(abs(z_28), 0.0), 9) AS score_ens FROM feat),
 bounded AS (SELECT *, quantile_cont(score_ens, 0.95) OVER (PARTITION BY grp, src) AS threshold FROM scored),
 flagged AS (SELECT *, CASE WHEN score_ens >= threshold THEN 1 ELSE 0 END AS is_anomaly FROM bounded)"""
 
@@ -340,7 +340,8 @@ round(threshold, 6) + 0.0 AS threshold, is_anomaly FROM """
 
 def _scored(spark, sf):
     feat = features.build_features(events_daily(spark, sf), G)
-    return feat.select(*KEYS, "job_count", F.coalesce(F.abs("z_28"), F.lit(0.0)).alias("score_ens"))
+    score = ensemble.comparable(F.coalesce(F.abs("z_28"), F.lit(0.0)))
+    return feat.select(*KEYS, "job_count", score.alias("score_ens"))
 
 
 def _flagged(spark, sf):
