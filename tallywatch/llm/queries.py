@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import simhash
+from tallywatch.llm import mixing, simhash
 from tallywatch.llm.words import load
 
 
@@ -13,5 +13,11 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_simhash_dedup": op6_simhash_dedup}
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the weighted mix takes from every document."""
+    plan = mixing.mix(load(spark, sf_dir, "documents"))
+    return mixing.document_totals(plan).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources}
 ORACLE: dict[str, str] = {}
