@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import mixing, simhash
+from tallywatch.llm import mixing, quality, sharding, simhash
 from tallywatch.llm.words import load
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rule and learned fences, for every document."""
+    return quality.judge(load(spark, sf_dir, "documents"))
+
+
+def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    placed = sharding.assign_shards(load(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -19,5 +30,7 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(plan).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules, "op4_hash_shards": op4_hash_shards, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
+}
+ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
