@@ -33,7 +33,7 @@ SHARE = 1.5
 CAP = 2
 BLOCK = 64
 SHARD_SLOTS = 1024
-PART_ROWS = 20_000
+PART_ROWS = 4_000
 PART_SHARDS = 4096
 CELLS = 65_536
 SEED = 7
