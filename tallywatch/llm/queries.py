@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallywatch.llm import mixing, quality, sharding, simhash
-from tallywatch.llm.words import load
+from tallywatch.llm import langid, mixing, quality, sharding, simhash
+from tallywatch.llm.words import bucket_of, load
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,17 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(plan).withColumnRenamed("id", "doc_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from those that are not held out."""
+    docs = load(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 4) == 2
+    net = langid.fit(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", "text"), net).select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op4_hash_shards": op4_hash_shards, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
+    "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
