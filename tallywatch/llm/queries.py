@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import langid, mixing, quality, sharding, simhash
+from tallywatch.llm import langid, mixing, quality, sharding, simhash, toxicity
 from tallywatch.llm.words import bucket_of, load
 
 
@@ -14,6 +14,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(load(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled ones that are not held out."""
+    docs = load(spark, sf_dir, "documents")
+    labels = load(spark, sf_dir, "labels")
+    held_out = bucket_of(F.col("doc_id"), 3) == 1
+    net = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
+    scored = toxicity.score(docs.select("doc_id", "text"), net, into="score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     placed = sharding.assign_shards(load(spark, sf_dir, "documents"))
@@ -41,7 +52,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_quality_rules": op1_quality_rules, "op4_hash_shards": op4_hash_shards, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
+    "op1_quality_rules": op1_quality_rules, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
+    "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
