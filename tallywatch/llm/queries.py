@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import langid, mixing, quality, sharding, simhash, toxicity
+from tallywatch.llm import langid, lm, mixing, quality, sharding, simhash, toxicity
 from tallywatch.llm.words import bucket_of, load
 
 
@@ -14,6 +14,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(load(spark, sf_dir, "documents"))
 
 
+def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice and add-one likelihood of every document, learnt from those that are not held out."""
+    docs = load(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 7) == 2
+    model = lm.fit(docs, ~held_out)
+    return lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labelled ones that are not held out."""
     docs = load(spark, sf_dir, "documents")
@@ -52,7 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_quality_rules": op1_quality_rules, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
+    "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op10_language_id": op10_language_id,
 }
