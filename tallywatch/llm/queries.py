@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import langid, lm, mixing, quality, sharding, simhash, toxicity
+from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, toxicity
 from tallywatch.llm.words import bucket_of, load
 
 
@@ -52,6 +52,13 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(plan).withColumnRenamed("id", "doc_id")
 
 
+def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, all documents against all items."""
+    docs = load(spark, sf_dir, "documents")
+    blocks = decontaminate.fit(docs, load(spark, sf_dir, "benchmark"))
+    return decontaminate.matches(docs, blocks)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learnt from those that are not held out."""
     docs = load(spark, sf_dir, "documents")
@@ -64,6 +71,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
-    "op10_language_id": op10_language_id,
+    "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}

@@ -76,3 +76,20 @@ def byte_rows(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = words.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def hash64(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte string: the sum of a mix of its bytes with their places, mixed again."""
+    n = len(bounds) - 1
+    lengths = np.diff(bounds)
+    with np.errstate(over="ignore"):
+        place = (np.arange(len(data)) - np.repeat(bounds[:-1], lengths)).astype(np.uint64)
+        mixed = (data.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * (place * np.uint64(2) + np.uint64(0xD6E8FEB86659FD93))
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        out = (sums[bounds[1:]] - sums[bounds[:-1]]) + lengths.astype(np.uint64)
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0x94D049BB133111EB)
+        out ^= out >> np.uint64(29)
+    return out if n else np.zeros(0, np.uint64)
