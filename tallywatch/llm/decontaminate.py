@@ -1,16 +1,20 @@
 """Benchmark passages in documents, found by latent semantic retrieval and confirmed word by word.
 
 1. Terms are words without case and outer punctuation, hashed to ``BUCKETS`` buckets. Their
-   inverse document frequencies come from all documents.
+   inverse document frequencies come from all documents. Terms in more than ``STOP_SHARE``
+   of these weigh nothing, unless an item, such as one that is everywhere, mainly consists
+   of them.
 2. The benchmark's passages, runs of ``WINDOW`` words, are rows of a TF-IDF matrix. Its
    leading right singular vectors come from a randomised SVD (Halko et al. 2011): each
    step is one pass over the passages in which tasks add up the products with a narrow
    matrix; what reaches the driver has at most ``BUCKETS`` times ``RANK`` + ``EXTRA`` numbers.
 3. Every document is read in overlapping windows of ``WINDOW`` words. A window and a passage
-   whose latent vectors have a cosine of at least ``COSINE`` are a candidate.
+   whose latent vectors have a cosine of at least ``COSINE`` are a candidate, if the window's
+   vector along the passage's is at least ``HELD`` times as long: one that holds the passage
+   holds all of its vector besides its own.
 4. A candidate is confirmed on the words around the window: the longest common subsequence
-   must hold ``LCS_SHARE`` of the item's words, words worth ``WEIGHT_SHARE`` of its total
-   inverse document frequency must be there, and of its answer, which is its last sentence
+   must hold ``LCS_SHARE`` of the item's words, distinct words worth ``WEIGHT_SHARE`` of its
+   inverse document frequencies must be there, and of its answer, which is its last sentence
    (of a single sentence the last third), ``ANSWER_SHARE`` must be there in order. An item
    of fewer than ``SHORT`` words must be there word for word.
 
@@ -20,7 +24,6 @@ searched for in blocks, each a pass of its own, so what is broadcast has a bound
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,15 +40,17 @@ from tallywatch.sources.scratch import materialise
 BUCKETS = 1 << 16
 WINDOW = 64
 STRIDE = WINDOW // 2
-RANK = 64
+RANK = 96
 EXTRA = 8
 PASSES = 3
 COSINE = 0.5
+HELD = 0.4
 LCS_SHARE = 0.6
 WEIGHT_SHARE = 0.6
 ANSWER_SHARE = 0.5
 SHORT = 8
 BLOCK = 5_000
+STOP_SHARE, STOP_TEXTS = 0.05, 100
 PIECE = 1_500_000
 OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -84,6 +89,7 @@ class Items:
     answers: list[int]
     owner: np.ndarray
     latent: np.ndarray
+    length: np.ndarray
     basis: np.ndarray
     idf: np.ndarray
 
@@ -120,6 +126,15 @@ def document_frequencies(docs: DataFrame, text_col: str, wanted: np.ndarray) ->
     return out[:BUCKETS], int(out[BUCKETS])
 
 
+def _without_stop_terms(idf: np.ndarray, frequent: np.ndarray, items: list[np.ndarray]) -> np.ndarray:
+    """Zero weight for frequent terms, but for those of items that would lose half their weight."""
+    needed = np.zeros(BUCKETS, bool)
+    for bucket in items:
+        if idf[bucket][frequent[bucket]].sum() > 0.5 * idf[bucket].sum():
+            needed[bucket] = True
+    return np.where(frequent & ~needed, 0.0, idf)
+
+
 def benchmark_passages(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item, buckets): the buckets of every passage, repeats included."""
 
@@ -163,7 +178,8 @@ def latent_basis(passages: DataFrame, idf: np.ndarray, rank: int = RANK, passes:
             back = np.zeros((len(weight), width))
             for frame in frames:
                 for buckets in frame["buckets"]:
-                    at, n = np.unique(place[np.asarray(buckets)], return_counts=True)
+                    at = place[np.asarray(buckets)]
+                    at, n = np.unique(at[at >= 0], return_counts=True)
                     row = n * weight[at]
                     row = row / (np.linalg.norm(row) or 1.0)
                     y = row @ narrow[at]
@@ -216,10 +232,11 @@ def fit(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
             continue
         seen, n = document_frequencies(docs, text_col, wanted)
         idf = np.where(wanted, np.log((1 + n) / (1 + seen)) + 0.1, 0.0)
-        basis = latent_basis(mine, idf)
         rows = sorted(((r["item"], r["text"]) for r in items.where(part(F.col("item")) == k).collect()), key=repr)
         found = [(item, *item_terms(text)) for item, text in rows]
         found = [x for x in found if len(x[1])]
+        idf = _without_stop_terms(idf, seen > np.maximum(STOP_SHARE * n, STOP_TEXTS), [_bucket(x[1]) for x in found])
+        basis = latent_basis(mine, idf)
         owner, latent = [], []
         for i, (_, terms, _) in enumerate(found):
             for a, b in _passages(len(terms)):
@@ -227,9 +244,9 @@ def fit(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col:
                 owner.append(i)
                 latent.append((basis[bucket] * idf[bucket][:, None]).sum(axis=0))
         latent = np.array(latent, np.float32)
-        latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-        blocks.append(Items([x[0] for x in found], [x[1] for x in found], [x[2] for x in found], np.array(owner), latent,
-                            basis, idf.astype(np.float32)))
+        length = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
+        blocks.append(Items([x[0] for x in found], [x[1] for x in found], [x[2] for x in found], np.array(owner),
+                            latent / length[:, None], length, basis, idf.astype(np.float32)))
     return blocks
 
 
@@ -258,8 +275,8 @@ class _Judge:
     def __init__(self, items: Items):
         self.items = items
         self.places = [lcs_mask(t) for t in items.terms]
-        self.counts = [Counter(t.tolist()) for t in items.terms]
         self.weight = [{t: float(items.idf[b]) for t, b in zip(x.tolist(), _bucket(x))} for x in items.terms]
+        self.least = [WEIGHT_SHARE * sum(w.values()) for w in self.weight]
 
     def confirm(self, i: int, words: list[int]) -> int:
         """The length of the common subsequence if the item is there, else 0."""
@@ -267,14 +284,13 @@ class _Judge:
         if n < SHORT:
             own = terms.tolist()
             return n if any(words[k:k + n] == own for k in range(len(words) - n + 1)) else 0
+        # The cheapest check first: most candidates lack the item's rare words.
+        weight, there = self.weight[i], set(words)
+        if sum(w for t, w in weight.items() if t in there) < self.least[i]:
+            return 0
         common = lcs_row(self.places[i], n, words).bit_count()
         if common < LCS_SHARE * n:
             return 0
-        there = Counter(w for w in words if w in self.counts[i])
-        weight = self.weight[i]
-        total = sum(weight[t] * c for t, c in self.counts[i].items())
-        if sum(weight[t] * min(c, there[t]) for t, c in self.counts[i].items()) < WEIGHT_SHARE * total:
-            return 0
         at = self.items.answers[i]
         answer = terms[at:]
         if lcs_row(lcs_mask(answer), len(answer), words).bit_count() < ANSWER_SHARE * len(answer):
@@ -309,11 +325,12 @@ def _search(texts: pa.Array, items: Items, judge: _Judge) -> list[list[tuple]]:
     paired[:-1] = owner[1:] == owner[:-1]
     windows = sums.copy()
     windows[:-1][paired[:-1]] += sums[1:][paired[:-1]]
-    windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
+    size = np.maximum(np.linalg.norm(windows, axis=1), 1e-9)
     out: list[dict] = [{} for _ in range(len(texts))]
     for begin in range(0, len(windows), 20_000):
-        cosines = windows[begin:begin + 20_000] @ items.latent.T
-        for w, p in zip(*np.nonzero(cosines >= COSINE)):
+        along = windows[begin:begin + 20_000] @ items.latent.T
+        cosines = along / size[begin:begin + 20_000, None]
+        for w, p in zip(*np.nonzero((cosines >= COSINE) & (along >= HELD * items.length))):
             cosine, w = float(cosines[w, p]), w + begin
             i, t = int(items.owner[p]), int(owner[w])
             if i in out[t]:
