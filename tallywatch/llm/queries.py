@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, toxicity
+from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, tokenorder, toxicity
 from tallywatch.llm.words import bucket_of, load
+from tallywatch.sources.scratch import materialise
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,15 @@ def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes")
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shard of the token sequences of all documents in training order, its payload as a digest."""
+    sequences, layout = tokenorder.ordered(load(spark, sf_dir, "documents"))
+    packed = tokenorder.shards(sequences, layout)
+    written = materialise(packed, "token-shards")
+    return written.select("shard", "first_slot", "n_sequences", F.octet_length("payload").cast("long").alias("n_bytes"),
+                          F.md5("payload").alias("payload_md5"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -70,7 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
-    "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
+    "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
