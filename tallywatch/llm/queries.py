@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, tokenorder, toxicity
+from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, surrogates, tokenorder, toxicity
 from tallywatch.llm.words import bucket_of, load
 from tallywatch.sources.scratch import materialise
 
@@ -62,6 +62,11 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(plan).withColumnRenamed("id", "doc_id")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data."""
+    return surrogates.replace_entities(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, all documents against all items."""
     docs = load(spark, sf_dir, "documents")
@@ -81,6 +86,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
-    "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
+    "op8_surrogates": op8_surrogates, "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
