@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.joins import is_small
 from tallywatch.llm.permute import feistel
-from tallywatch.llm.words import GAP
+from tallywatch.llm.words import GAP, let
 from tallywatch.sources.scratch import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -214,18 +214,21 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"), F.sum(F.col("to") - F.col("from")).alias("words"))
     # Equal rows are told apart by their number, which either side counts for itself.
     same = Window.partitionBy("id", "row_hash").orderBy("start")
-    runs = runs.select(F.col("id").alias("_id"), F.col("row_hash").alias("_hash"), "size", "words", "runs",
-                       F.dense_rank().over(same).alias("_copy"))
-    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns)).where(word_count(F.col(text_col)) > 0)
-    numbered = hashed.withColumn("_no", F.row_number().over(Window.partitionBy(id_col, "_row").orderBy("_row")))
-    joined = numbered.join(runs, numbered[id_col].eqNullSafe(runs["_id"]) & (numbered["_row"] == runs["_hash"])
-                           & (numbered["_no"] == runs["_copy"]))
-    tidy = F.ltrim(F.regexp_replace(F.col(text_col), r"^[\x20\x09-\x0D]+", ""))
-    word = F.split(tidy, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    cut = F.array_join(F.flatten(F.transform(
-        "runs", lambda r: F.slice("_words", (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), "")
-    out = joined.withColumn("_words", F.when(F.col("words") < F.col("size"), word)).withColumn(
-        text_col, F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(text_col)))
+    runs = runs.select("id", "row_hash", "size", "words", "runs", F.dense_rank().over(same).alias("copy"))
+    # The rows travel as one column, so that no name of theirs can clash.
+    row = F.xxhash64(*docs.columns)
+    whole = docs.where(word_count(F.col(text_col)) > 0).select(F.struct(*docs.columns).alias("doc"), row.alias("row"))
+    numbered = whole.withColumn("no", F.row_number().over(Window.partitionBy(F.col("doc")[id_col], "row").orderBy("row")))
+    joined = numbered.join(runs, F.col("doc")[id_col].eqNullSafe(F.col("id")) & (F.col("row") == F.col("row_hash"))
+                           & (F.col("no") == F.col("copy")))
+    text = F.col("doc")[text_col]
+    tidy = F.regexp_replace(text, r"^[\x20\x09-\x0D]+", "")
+    part = F.col("words") < F.col("size")
+    split = F.when(part, F.split(tidy, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"))
+    cut = let(split, lambda words: F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(
+        words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), ""))
+    out = joined.select("doc", F.when(part, cut).otherwise(text).alias("text"))
+    new = {text_col: F.col("text")}
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    return out.select(*docs.columns)
+        new[length_col] = F.length("text").cast(docs.schema[length_col].dataType)
+    return out.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

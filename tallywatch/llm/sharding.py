@@ -113,7 +113,9 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     added = ["n_bytes", "shard", "depth", "shard_bytes"]
     columns = [c for c in docs.columns if c not in added]
-    hashed = docs.select(*columns, text_bytes(F.col(text_col)).alias("n_bytes"), id_hash(F.col(id_col)).alias("_hash"))
+    # The rows travel as one column, so that no name of theirs can clash.
+    hashed = docs.select(F.struct(*columns).alias("doc"), text_bytes(F.col(text_col)).alias("n_bytes"),
+                         id_hash(F.col(id_col)).alias("_hash"))
     narrow = materialise(hashed.select(F.col("_hash").alias("hash"), F.col("n_bytes").alias("bytes")), "sizes")
     directory = build_directory(narrow, limit)
     large = not narrow.where(F.col("bytes") > limit).isEmpty()
@@ -128,16 +130,16 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     depth = F.coalesce(*found)
     size = F.coalesce(*[f"_bytes{i}" for i in range(len(directory.rounds))])
     bucketed = rest.where(depth.isNotNull()).select(
-        *columns, "n_bytes", _name(prefix(F.col("_hash"), depth), depth).alias("shard"), depth.alias("depth"),
+        "doc", "n_bytes", _name(prefix(F.col("_hash"), depth), depth).alias("shard"), depth.alias("depth"),
         size.alias("shard_bytes"))
     apart = [hashed.where(F.col("n_bytes") > limit)] if large else []
-    apart += [rest.where(depth.isNull()).select(*columns, "n_bytes", "_hash")] if full else []
+    apart += [rest.where(depth.isNull()).select("doc", "n_bytes", "_hash")] if full else []
     for rows in apart:
-        bucketed = bucketed.unionByName(_overflow(rows, columns, limit))
-    return bucketed
+        bucketed = bucketed.unionByName(_overflow(rows, limit))
+    return bucketed.select("doc.*", *added)
 
 
-def _overflow(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
+def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     """Pages of at most ``limit`` bytes for rows that share a whole hash; a larger row has its own.
 
     Rows of up to half the limit go by running totals in steps of half the limit, so a
@@ -153,7 +155,7 @@ def _overflow(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
         F.concat(F.lit("p"), F.floor(F.col("_start") / F.lit(max(1, half))).cast("string")))
     placed = materialise(placed.withColumn("shard", F.concat(F.lit("h"), F.lower(F.hex("_hash")), F.lit("-"), page)), "pages")
     sizes = placed.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return placed.join(sizes, "shard").select(*columns, "n_bytes", "shard", F.lit(BITS).alias("depth"), "shard_bytes")
+    return placed.join(sizes, "shard").select("doc", "n_bytes", "shard", F.lit(BITS).alias("depth"), "shard_bytes")
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:

@@ -207,7 +207,9 @@ def replace_entities(docs: DataFrame, text_col: str = "text", count_col: str = "
     text = F.col(text_col)
     columns = [c for c in docs.columns if c != count_col]
     found = F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    marked = docs.select(*columns, F.coalesce(found, F.array().cast("array<string>")).alias("_matches"))
+    # The rows travel as one column, so that no name of theirs can clash.
+    marked = docs.select(F.struct(*columns).alias("doc"), F.coalesce(found, F.array().cast("array<string>")).alias("_matches"))
+    text = F.col("doc")[text_col]
     # A text is known by two hashes, its length and its matches' number.
     ident = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), F.reverse(text)).alias("_h2"), F.length(text).alias("_len")]
     keys = ["_h1", "_h2", "_len"]
@@ -226,7 +228,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", count_col: str = "
         F.sort_array(F.collect_list(F.struct("at", "new")))["new"].alias("_new"))
     between = F.split(text, ANY, -1)
     rebuilt = F.array_join(F.zip_with(between, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = held.select("*", *ident).join(lists, keys).withColumn(text_col, rebuilt).withColumn(
-        count_col, F.size("_matches")).select(*columns, count_col)
-    same = marked.where(F.size("_matches") == 0).select(*columns, F.lit(0).alias(count_col))
+    changed = held.select("*", *ident).join(lists, keys).select(
+        *[(rebuilt if c == text_col else F.col("doc")[c]).alias(c) for c in columns], F.size("_matches").alias(count_col))
+    same = marked.where(F.size("_matches") == 0).select("doc.*", F.lit(0).alias(count_col))
     return same.unionByName(changed)

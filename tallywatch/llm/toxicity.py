@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import bigru
@@ -60,14 +60,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return bigru.train(*byte_rows(distinct), windows, owner, y)
 
 
-def score(docs: DataFrame, net: bigru.BiGru, text_col: str = "text", into: str = "toxicity") -> DataFrame:
-    """``docs`` with a double column ``into`` between 0 and 1; a column of that name is replaced.
+def toxic_share(text: Column, net: bigru.BiGru, spark: SparkSession) -> Column:
+    """Between 0 and 1, from the likeliest window of each text.
 
-    A text's score is that of its likeliest window. Null and empty texts, and texts of
-    white space, have one window without words and get the score of that. Repeated rows
-    get equal scores; other columns are kept as they are.
+    Null and empty texts, and texts of
+    white space, have one window without words and get the score of that.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = spark.sparkContext.broadcast(net)
 
     @F.arrow_udf("double")
     def likeliest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -82,9 +81,17 @@ def score(docs: DataFrame, net: bigru.BiGru, text_col: str = "text", into: str =
                 parts.append(np.maximum.reduceat(p, np.searchsorted(owner, np.arange(len(texts)))))
             yield pa.array(np.concatenate(parts).astype(np.float64) if parts else [], pa.float64())
 
-    return docs.withColumn(into, likeliest(F.col(text_col)))
+    return likeliest(text)
+
+
+def score(docs: DataFrame, net: bigru.BiGru, text_col: str = "text", into: str = "toxicity") -> DataFrame:
+    """``docs`` with a double column ``into``; a column of that name is replaced.
+
+    Repeated rows get equal scores; other columns are kept as they are.
+    """
+    return docs.withColumn(into, toxic_share(F.col(text_col), net, docs.sparkSession))
 
 
 def keep_clean(docs: DataFrame, net: bigru.BiGru, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with their columns."""
-    return score(docs, net, text_col, "_toxicity").where(F.col("_toxicity") < threshold).select(*docs.columns)
+    return docs.where(toxic_share(F.col(text_col), net, docs.sparkSession) < threshold)
