@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, surrogates, tokenorder, toxicity
 from tallywatch.llm.words import bucket_of, load
-from tallywatch.sources.scratch import materialise
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,9 +44,7 @@ def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shard of the token sequences of all documents in training order, its payload as a digest."""
     sequences, layout = tokenorder.ordered(load(spark, sf_dir, "documents"))
-    packed = tokenorder.shards(sequences, layout)
-    written = materialise(packed, "token-shards")
-    return written.select("shard", "first_slot", "n_sequences", F.octet_length("payload").cast("long").alias("n_bytes"),
+    return tokenorder.shards(sequences, layout).select("shard", "first_slot", "n_sequences", F.octet_length("payload").cast("long").alias("n_bytes"),
                           F.md5("payload").alias("payload_md5"))
 
 

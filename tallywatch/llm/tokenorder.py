@@ -1,16 +1,15 @@
 """Token ids in training order: fixed-length sequences, a keyed global shuffle, shards of fixed stride.
 
 Every text becomes its tokens and an end mark, cut into sequences of ``length`` ids, the
-last filled up with end marks. Sequences are numbered by (document id, text, place).
+last filled up with end marks. Sequences are numbered in the order in which they are read.
 A keyed Feistel permutation with cycle-walking (``permute``) maps the numbers onto
 slots: a bijection that needs no table, so any slot can be found from the key alone.
 Sequences are range-partitioned by shard and written as one row per shard, whose payload
 is its sequences one after the other. Slot ``s`` is at byte ``(s % per_shard) * stride``
 of shard ``s // per_shard``, so a run resumes anywhere by arithmetic.
 
-Numbering needs running totals over all documents: those are taken on (id, sequences)
-alone, within hashed parts and then over the parts. The token rows themselves move twice,
-to meet their numbers and to their shards.
+Tasks count their sequences while they tokenise; the totals of the partitions, one row
+each, place every partition in the whole. The token rows move once, to their shards.
 """
 
 from __future__ import annotations
@@ -26,9 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallywatch.functions.joins import is_small
 from tallywatch.llm.permute import feistel
 from tallywatch.llm.words import pieces
-from tallywatch.sources.scratch import materialise
+from tallywatch.sources.scratch import materialise, new_folder
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed values of this public vocabulary: the pattern that cuts text before merging, and the free id for the end.
@@ -37,7 +37,6 @@ END = 50_256
 LENGTH = 256
 PER_SHARD = 4_096
 KEY = 20_240_229
-PART_ROWS = 50_000
 PIECE = 16_000_000
 STRIDE_BYTES = 2
 
@@ -136,75 +135,69 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def tokenised(docs: DataFrame, text_col: str, ranks: dict[bytes, int], length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``sequences``, an array of binaries of two bytes an id, lowest byte first.
+def tokenised(rows: DataFrame, ranks: dict[bytes, int], length: int = LENGTH) -> DataFrame:
+    """(id, n_tokens, part, before, n, sequences) from (id, text): the text's ``n`` sequences, binaries of
+    two bytes an id, lowest byte first, and how many sequences its partition holds before them.
 
     Null and empty texts are one sequence of end marks. Ids beyond 65535 are not supported.
     """
     if max(ranks.values()) > 65_535:
         raise ValueError("the vocabulary needs more than two bytes an id")
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
-    @F.arrow_udf("struct<n_tokens long, sequences array<binary>>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = Tokenizer(shared.value)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, done = Tokenizer(shared.value), 0
         for batch in batches:
-            out = []
-            for texts in pieces(batch, PIECE):
+            at = 0
+            for texts in pieces(batch.column(1), PIECE):
                 ids, bounds = tokenizer.encode(texts)
                 n = np.diff(bounds)
-                rows = n // length + 1
-                first = np.cumsum(rows) - rows
-                block = np.full(rows.sum() * length, END, np.uint16)
+                per_text = n // length + 1
+                first = np.cumsum(per_text) - per_text
+                block = np.full(per_text.sum() * length, END, np.uint16)
                 block[np.repeat(first * length, n) + np.arange(len(ids)) - np.repeat(bounds[:-1], n)] = ids
                 cells = pa.FixedSizeBinaryArray.from_buffers(
                     pa.binary(length * STRIDE_BYTES), len(block) // length, [None, pa.py_buffer(block.astype("<u2").tobytes())])
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rows)]), pa.int32()), cells.cast(pa.binary()))
-                out.append(pa.StructArray.from_arrays([pa.array(n, pa.int64()), lists], ["n_tokens", "sequences"]))
-            yield pa.concat_arrays(out) if out else pa.array([], pa.struct([("n_tokens", pa.int64()), ("sequences", pa.list_(pa.binary()))]))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(per_text)]), pa.int32()), cells.cast(pa.binary()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), batch.column(2).slice(at, len(texts)),
+                     pa.array(done + first, pa.int64()), pa.array(per_text, pa.int64()), lists],
+                    ["id", "n_tokens", "part", "before", "n", "sequences"])
+                done += int(per_text.sum())
+                at += len(texts)
 
-    return docs.withColumn("_t", encode(F.col(text_col))).select("*", "_t.*").drop("_t")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "text", F.spark_partition_id().alias("part")).mapInArrow(
+        encode, f"id {kind}, n_tokens long, part int, before long, n long, sequences array<binary>")
 
 
 def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
             length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> tuple[DataFrame, Layout]:
     """One row per sequence, (id, place, n_tokens, slot, shard, sequence), and the layout.
 
-    Documents are numbered by id, nulls first, then by a hash of the text; rows equal in
-    both have equal sequences, so their order changes nothing. Other columns are not read.
+    Sequences are numbered as their documents are read, so the same files read in the same
+    partitions give the same order. Null ids and repeated rows have sequences of their own.
+    Other columns are not read; an empty table gives no rows.
     """
     ranks = read_ranks(vocabulary)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    stored = materialise(tokenised(rows, "text", ranks, length).drop("text").withColumn("row", F.monotonically_increasing_id()), "tokens")
-    narrow = materialise(stored.select("id", "text_hash", "row", F.size("sequences").cast("long").alias("n")), "token-counts")
-    total, n_rows = narrow.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    numbered = _first_numbers(narrow, max(1, -(-n_rows // PART_ROWS)))
+    spark, path = docs.sparkSession, new_folder(docs.sparkSession, "tokens")
+    rows = tokenised(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ranks, length)
+    rows.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    # One row for each partition of the scan.
+    totals = materialise(stored.groupBy("part").agg(F.sum("n").alias("total")), "token-counts")
+    total = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    earlier = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("earlier"))
     layout = Layout(length, per_shard, total, key)
-    # Rows meet their numbers by a key of their own, one row on either side.
-    joined = stored.join(numbered.select("row", "first"), "row")
-    out = joined.select("id", "n_tokens", "first", F.posexplode("sequences").alias("place", "sequence"))
+    joined = stored.join(F.broadcast(earlier) if is_small(totals) else earlier, "part")
+    out = joined.select("id", "n_tokens", (F.col("earlier") + F.col("before")).alias("first"),
+                        F.posexplode("sequences").alias("place", "sequence"))
     slot = feistel(F.col("first") + F.col("place"), F.lit(total).cast("long"), F.lit(key))
     out = out.withColumn("slot", slot).withColumn("shard", F.floor(F.col("slot") / per_shard))
     return out.select("id", "place", "n_tokens", "slot", "shard", "sequence"), layout
 
 
-def _first_numbers(narrow: DataFrame, parts: int) -> DataFrame:
-    """Add ``first``: the number of sequences of all earlier rows, by (id, text hash, row).
-
-    The order is cut into ranges of about equal size; a range's rows are added up by
-    themselves, and the ranges' totals, one row each, over all ranges. Where the ranges end
-    changes nothing.
-    """
-    order = ["id", "text_hash", "row"]
-    ranged = narrow.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ranged = materialise(ranged.withColumn("part", F.spark_partition_id()), "ranges")
-    totals = ranged.groupBy("part").agg(F.sum("n").alias("total"))
-    before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.withColumn("upto", F.sum("n").over(inside) - F.col("n")).join(F.broadcast(before), "part").withColumn(
-        "first", F.col("before") + F.col("upto"))
-
-
 def shards(sequences: DataFrame, layout: Layout) -> DataFrame:
     """(shard, first_slot, n_sequences, payload): one row per shard, its sequences in slot order.
 
