@@ -18,8 +18,8 @@ def lenient_timestamp(text: Column) -> Column:
 
 
 def strict_timestamp(text: Column) -> Column:
-    """Parse ISO text; text that does not parse fails the query, null stays null."""
-    parsed = F.try_to_timestamp(text)
+    """Parse text in any known layout; text that does not parse fails the query, null stays null."""
+    parsed = mixed_timestamp(text)
     bad = text.isNotNull() & parsed.isNull()
     return F.when(bad, F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp")).otherwise(parsed)
 

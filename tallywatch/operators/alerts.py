@@ -32,19 +32,21 @@ def flag(scored: DataFrame, score: str = "score_ens") -> DataFrame:
 def cooldown(flagged: DataFrame, group: str, days: int = 1) -> DataFrame:
     """Keep an alert only if the last kept alert lies more than ``days`` back.
 
-    Each segment's alert dates are folded in date order. The window has the
-    partitioning of the threshold, so no further shuffle is needed.
+    Each segment's alert dates are folded once, in its first row, and handed to the others.
+    The windows have the partitioning of the threshold, so no further shuffle is needed.
     """
     if days <= 0:
         return flagged
     w = Window.partitionBy(group, "src")
     alert_day = F.when(F.col("is_anomaly") == 1, F.col("date"))
     return (
-        flagged.withColumn("_alerts", F.collect_list(alert_day).over(w))
-        .withColumn("_kept", arrays.spaced_dates(F.col("_alerts"), days))
+        flagged.withColumn("_first", F.row_number().over(w.orderBy("date")) == 1)
+        .withColumn("_alerts", F.collect_list(alert_day).over(w))
+        .withColumn("_once", F.when(F.col("_first"), arrays.spaced_dates(F.col("_alerts"), days)))
+        .withColumn("_kept", F.first("_once", ignorenulls=True).over(w))
         .withColumn("is_anomaly", F.when(
             (F.col("is_anomaly") == 1) & F.array_contains("_kept", F.col("date")), 1).otherwise(0))
-        .drop("_alerts", "_kept")
+        .drop("_first", "_alerts", "_once", "_kept")
     )
 
 

@@ -58,7 +58,8 @@ def seasonal_bursts(daily: DataFrame, group: str, value: str = "job_count", spik
     are counted from the day itself to the end of the series.
     """
     segment = Window.partitionBy(group, "src")
-    onwards = segment.orderBy("date").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # From the latest day backwards, so that the count runs on from row to row.
+    onwards = segment.orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = F.col(value)
     marked = (
         drop_null_keys(daily, [group, "src"])

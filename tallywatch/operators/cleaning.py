@@ -19,8 +19,8 @@ def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def rebuild_event_time(df: DataFrame) -> DataFrame:
-    """Event time from the first scrape; text that does not parse becomes null."""
-    return df.withColumn(EVENT_TIME, dates.lenient_timestamp(F.col("first_scrape_timestamp")))
+    """Event time from the first scrape, in any known layout; other text becomes null."""
+    return df.withColumn(EVENT_TIME, dates.mixed_timestamp(F.col("first_scrape_timestamp")))
 
 
 def fill_event_time(df: DataFrame) -> DataFrame:
@@ -51,19 +51,21 @@ def tag_country(df: DataFrame, tag: str = "US") -> DataFrame:
 def dedup_postings(df: DataFrame) -> DataFrame:
     """Optional: keep one posting per ``job_key``, the one scraped first.
 
-    Postings without a key are all kept. Copies of one key are merged on the map
-    side before the shuffle, so a key with very many copies is no hot spot.
+    Times are compared, not text; a posting without a time comes after all others, and
+    further ties go by the other columns. Postings without a key are all kept. One scan:
+    the rank filter drops copies before the shuffle, so a key with very many is no hot
+    spot, and each posting without a key is a group of its own.
     """
-    others = [c for c in df.columns if c not in ("job_key", "first_scrape_timestamp")]
-    row = F.struct("first_scrape_timestamp", *others)
-    keyed = (
-        df.where(F.col("job_key").isNotNull())
-        .groupBy("job_key")
-        .agg(F.min(row).alias("row"))
-        .select("job_key", "row.*")
-        .select(*df.columns)
+    scraped = dates.mixed_timestamp(F.col("first_scrape_timestamp"))
+    own = F.when(F.col("job_key").isNull(), F.monotonically_increasing_id())
+    ties = [c for c in df.columns if c != "job_key"]
+    first = Window.partitionBy("job_key", "_own").orderBy(F.col("_scraped").asc_nulls_last(), *ties)
+    return (
+        df.withColumns({"_scraped": scraped, "_own": own})
+        .withColumn("_rank", F.row_number().over(first))
+        .where(F.col("_rank") == 1)
+        .drop("_scraped", "_own", "_rank")
     )
-    return keyed.unionByName(df.where(F.col("job_key").isNull()))
 
 
 def null_counts(df: DataFrame, columns: Iterable[str] = POSTING_COLUMNS) -> DataFrame:
@@ -76,7 +78,7 @@ def null_counts(df: DataFrame, columns: Iterable[str] = POSTING_COLUMNS) -> Data
 
 def event_time_report(df: DataFrame) -> DataFrame:
     """One row: event times missing after the first parse, filled, and still missing."""
-    parsed = dates.lenient_timestamp(F.col("first_scrape_timestamp"))
+    parsed = dates.mixed_timestamp(F.col("first_scrape_timestamp"))
     fallback = dates.strict_timestamp(F.col("correct_date"))
     return df.agg(
         F.count("*").alias("total_rows"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,8 @@ def comparable(score: Column) -> Column:
 def raw_scores(m: Matrix, models: Iterable[str] = DEFAULT_MODELS) -> tuple[DataFrame, list[str]]:
     """The matrix with one ``score_<name>`` column per detector, and their names.
 
-    Two names of the same detector are fitted once.
+    Two names of the same detector are fitted once. A detector that cannot be fitted is
+    left out with a warning; one that cannot score counts as 0 in every row.
     """
     scored, columns, done = m.df, [], {}
     for model in models:
@@ -33,9 +35,20 @@ def raw_scores(m: Matrix, models: Iterable[str] = DEFAULT_MODELS) -> tuple[DataF
         if fit in done:
             scored = scored.withColumn(column, F.col(done[fit]))
         else:
-            scored = fit(m)(scored, column)
+            try:
+                scorer = fit(m)
+            except Exception as error:  # whatever a detector raises, the others go on
+                warnings.warn(f"detector {name} left out: {error}", stacklevel=2)
+                continue
+            try:
+                scored = scorer(scored, column)
+            except Exception as error:
+                warnings.warn(f"detector {name} scores 0: {error}", stacklevel=2)
+                scored = scored.withColumn(column, F.lit(0.0))
             done[fit] = column
         columns.append(column)
+    if not columns:
+        raise RuntimeError("no detector could be fitted")
     return scored, columns
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions import arrays, dates
+from tallywatch.functions.joins import lookup
 from tallywatch.operators.cleaning import drop_null_keys
 
 FEATURES = (
@@ -118,6 +119,10 @@ def fill_calendar(daily: DataFrame, group: str) -> DataFrame:
 def join_by_date(features: DataFrame, outside: DataFrame, column: str) -> DataFrame:
     """Optional: attach an outside daily series; days without a value stay null.
 
-    ``outside`` holds one row per date, so its size is bounded by the calendar.
+    A date that ``outside`` holds more than once is an error. The join broadcasts the
+    series only if it is as small as a calendar should be.
     """
-    return features.join(F.broadcast(outside.select("date", column)), "date", "left")
+    once = F.when(F.count("*") > 1, F.raise_error(F.lit("a date of the outside series repeats")).cast("double")).otherwise(
+        F.first(F.col(column).cast("double")))
+    kind = outside.schema[column].dataType
+    return lookup(features, "date", outside.groupBy("date").agg(once.cast(kind).alias(column)))

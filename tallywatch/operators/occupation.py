@@ -52,6 +52,19 @@ def roll_low_volume(days: DataFrame, level: int = 1, below: float = LOW_VOLUME)
     )
 
 
+def roll_twice(days: DataFrame, below: float = LOW_VOLUME) -> DataFrame:
+    """Roll low-volume codes to level 1, then those of the result that are still low-volume to level 2.
+
+    The second means are taken over the rolled codes. Null codes stay null.
+    """
+    once = roll_low_volume(days, 1, below)
+    merged = once.groupBy("date", "nlp_soc_code", "nlp_soc_code_rolled", "src").agg(
+        F.sum("job_count").cast("long").alias("job_count"), F.sum("postings").alias("postings"))
+    names = {"nlp_soc_code": "_code", "nlp_soc_code_rolled": "nlp_soc_code"}
+    twice = roll_low_volume(merged.withColumnsRenamed(names), 2, below)
+    return twice.drop("nlp_soc_code").withColumnRenamed("_code", "nlp_soc_code")
+
+
 def daily_rolled_counts(rolled: DataFrame) -> DataFrame:
     """Job counts per (date, rolled code, src)."""
     return daily_sums(rolled, "nlp_soc_code_rolled")

@@ -50,13 +50,13 @@ def detect(history: DataFrame, group: str, models: Iterable[str] = DEFAULT_MODEL
 
     Only the lower quantile bound sets the threshold. ``weekly_alerts`` applies an
     alert budget after the cooldown and is off by default, and so is ``n_dates``,
-    which keeps the newest dates of each segment only. The history is partitioned
-    by segment once, which the trim and all feature windows then share.
+    which keeps the newest dates of each segment only. What is left is partitioned by
+    segment once, which all feature windows then share.
     """
     models = list(models)
-    days = spread(history, group, "src")
-    if n_dates is not None:
-        days = last_n_dates(days, group, n_dates)
+    # The trim ranks on the map side, so that old dates are dropped before the exchange.
+    days = history if n_dates is None else last_n_dates(history, group, n_dates)
+    days = spread(days, group, "src")
     if dense_calendar:
         days = fill_calendar(days, group)
     scored, columns = score_history(days, group, models, extra_features)

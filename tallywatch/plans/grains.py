@@ -9,11 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.functions.text import rollup_soc
 from tallywatch.operators import cleaning, daily, geography, occupation, reports
 from tallywatch.operators.history import HISTORY_DATES
 from tallywatch.plans.detect import detect
 from tallywatch.sources import ledger, sinks
+from tallywatch.sources.scratch import materialise
 
 
 @dataclass(frozen=True)
@@ -62,15 +62,25 @@ GRAINS = {
 }
 
 
-def all_grains(postings: DataFrame, maps: Maps) -> DataFrame:
-    """Daily counts of all grains from one scan of the postings.
+def all_grains(postings: DataFrame, maps: Maps, below: float = occupation.LOW_VOLUME) -> DataFrame:
+    """Daily counts of all grains from one scan of the postings, equal to the three single ones.
 
-    Occupation codes are those of the roll-up of every low-volume code; with one
-    count per posting every code is low-volume.
+    Postings are counted once at the finest grain, with their job counts; country and
+    state add up postings, the occupation grain job counts after the roll-up of
+    low-volume codes. A null group leaves out the row in that grain only.
     """
-    imputed = cleaning.tag_country(imputed_postings(postings, maps))
-    rolled = imputed.withColumn("nlp_soc_code_rolled", rollup_soc(F.col("nlp_soc_code"), 1))
-    return daily.multi_grain_counts(rolled, {name: g.group for name, g in GRAINS.items()})
+    imputed = cleaning.default_job_count(cleaning.tag_country(imputed_postings(postings, maps)))
+    finest = imputed.groupBy("date", "src", "geo_level", "state", "nlp_soc_code").agg(
+        F.count("*").alias("rows"), F.sum("job_count").cast("long").alias("job_count"),
+        F.count("job_count").alias("postings"))
+    rolled = occupation.roll_low_volume(finest, below=below)
+    counted = {"country": "rows", "state": "rows", "occupation": "job_count"}
+    variants = F.array(*[
+        F.struct(F.lit(name).alias("grain"), F.col(g.group).cast("string").alias("group"), F.col(counted[name]).alias("n"))
+        for name, g in GRAINS.items()
+    ])
+    every = rolled.select("date", "src", F.inline(variants))
+    return daily.per_key(every, ["grain", "date", "group", "src"], F.sum("n").cast("long"))
 
 
 @dataclass(frozen=True)
@@ -90,7 +100,8 @@ def run_grain(spark: SparkSession, grain: str, postings: DataFrame, ledger_path:
     spec = GRAINS[grain]
     ledger.add_batch(spec.daily(postings, maps), ledger_path, spec.group, batch_id)
     history = ledger.read_history(spark, ledger_path, spec.group)
-    result = detect(history, spec.group, n_dates=n_dates, **detect_options)
+    # Written once: the files and the summary below all read it.
+    result = materialise(detect(history, spec.group, n_dates=n_dates, **detect_options), "result")
     sinks.write_result_csv(result, spec.group, f"{out_path}/anomalies_{grain}")
     today = sinks.write_today_csv(result, spec.group, out_path, grain, run_date)
     bounds = detect_options.get("quantile_bounds", (0.95, 0.999))

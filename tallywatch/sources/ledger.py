@@ -7,6 +7,8 @@ new one adds to the sums. Readers add up the increments of each (date, segment).
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,13 +61,10 @@ def add_batch(counts: DataFrame, path: str, group: str, batch_id: str) -> bool:
     if not absorbed_batches(spark, path).where(F.col("batch_id") == batch_id).isEmpty():
         return False
     rows = conform(daily_sums(counts, group), daily(group))
-    # Sorted by date, so that files can be skipped by their date range.
-    (
-        rows.withColumn("batch_id", F.lit(batch_id))
-        .sortWithinPartitions("date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(_increments(path))
-    )
+    # Sorted by date, so that files can be skipped by their date range. The batch's folder
+    # is named here and replaced as a whole, also by a replay without any row.
+    folder = f"{_increments(path)}/batch_id={quote(batch_id, safe='')}"
+    rows.sortWithinPartitions("date").write.mode("overwrite").parquet(folder)
     return True
 
 

@@ -43,10 +43,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Hash-partition by ``columns`` over all cores.
+    """Hash-partition by ``columns`` into the session's shuffle partitions, all cores at least.
 
     For steps that are heavy per row: merging partitions by their size in bytes
     would leave such work to a few tasks. A later window or grouping on the same
     columns needs no further shuffle.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+    spark = df.sparkSession
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(partitions, *columns)

@@ -90,8 +90,8 @@ def null_counts(spark, sf):
 
 @query("dedup_postings", f"""WITH {POSTINGS}
 SELECT job_key, first_scrape_timestamp, correct_date, state, zipcode FROM (
-  SELECT *, row_number() OVER (PARTITION BY job_key ORDER BY first_scrape_timestamp NULLS FIRST, state NULLS FIRST,
-    zipcode NULLS FIRST, correct_date NULLS FIRST) AS r FROM postings) WHERE r = 1""")
+  SELECT *, row_number() OVER (PARTITION BY job_key ORDER BY try_cast(first_scrape_timestamp AS TIMESTAMP)
+    NULLS LAST, state NULLS FIRST, zipcode NULLS FIRST, correct_date NULLS FIRST, first_scrape_timestamp NULLS FIRST) AS r FROM postings) WHERE r = 1""")
 def dedup_postings(spark, sf):
     return cleaning.dedup_postings(postings(spark, sf)).select(
         "job_key", "first_scrape_timestamp", "correct_date", "state", "zipcode")
@@ -223,6 +223,19 @@ def rollup_conservation_first(spark, sf):
     return occupation.first_comparisons(occupation.roll_low_volume(_weighted_days(spark, sf), below=1.2))
 
 
+# The postings' weights enter the occupation grain alone.
+@query("all_grains_weighted", f"""WITH {IMPUTED}{WEIGHTED[len(POSTINGS):]},
+days AS (SELECT date, src, 'US' AS geo, correct_state AS st FROM imputed WHERE date IS NOT NULL AND src IS NOT NULL)
+SELECT 'country' AS grain, CAST(date AS VARCHAR) AS date, geo AS "group", src, count(*) AS job_count
+FROM days GROUP BY days.date, geo, src
+UNION ALL SELECT 'state', CAST(date AS VARCHAR), st, src, count(*) FROM days WHERE st IS NOT NULL GROUP BY days.date, st, src
+UNION ALL SELECT 'occupation', CAST(date AS VARCHAR), nlp_soc_code_rolled, src, CAST(sum(weight) AS BIGINT) FROM rolled
+WHERE nlp_soc_code_rolled IS NOT NULL AND date IS NOT NULL AND src IS NOT NULL
+GROUP BY rolled.date, nlp_soc_code_rolled, src""")
+def all_grains_weighted(spark, sf):
+    return day(grains.all_grains(postings(spark, sf, weighted=True), maps(spark), below=1.2))
+
+
 @query("all_grains", f"""WITH {IMPUTED},
 tagged AS (SELECT date, src, 'US' AS geo, correct_state AS st, {_rolled(1)} AS soc FROM imputed
            WHERE date IS NOT NULL AND src IS NOT NULL)

@@ -63,7 +63,7 @@ def stream_ledger(spark, sf):
     out = new_folder(spark, "stream")
     rows = event_rows(spark, sf)
     for part in range(3):
-        rows.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{out}/rows")
+        rows.where(F.col("event_id") % 3 == part).repartition(2, G, "src").write.mode("append").parquet(f"{out}/rows")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/rows")
     _wait(ingest(stream, lambda batch: daily.daily_counts(batch, G), G, f"{out}/ledger", f"{out}/checkpoint"))
     return day(ledger.read_history(spark, f"{out}/ledger", G))
@@ -75,9 +75,11 @@ def stream_cooldown(spark, sf):
     """Alert days in three files in date order, with the cooldown as state between them."""
     out = new_folder(spark, "stream")
     flagged = _flagged(spark, sf).where(F.col("is_anomaly") == 1).select(*KEYS)
-    third = F.dayofmonth("date") / 11
+    # Cut by date; a segment's days of one cut are in one file, so they arrive in order.
+    first, last = flagged.agg(F.min("date"), F.max("date")).first()
+    third = F.least(F.floor(F.datediff("date", F.lit(first)) * 3 / F.greatest(F.datediff(F.lit(last), F.lit(first)), F.lit(1))), F.lit(2))
     for part in range(3):
-        flagged.where(F.floor(third) == part).coalesce(1).write.mode("append").parquet(f"{out}/alerts")
+        flagged.where(third == part).repartition(2, G, "src").write.mode("append").parquet(f"{out}/alerts")
     stream = spark.readStream.schema(flagged.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/alerts")
     kept = stream_alerts.stream_cooldown(stream, G, 1)
     _wait(
