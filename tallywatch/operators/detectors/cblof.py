@@ -4,13 +4,17 @@ Clusters are ordered by size; the large ones are those before the first place wh
 they hold the share ``alpha`` of all rows or the next one is ``beta`` times smaller.
 A row's score is its distance to the centre of its own cluster if that is large,
 else to the nearest large one. Either way that is the nearest large centre.
+
+Clusters are those of Lloyd's steps from the distinct points whose first row has the
+smallest MD5 of its key. Each step is one aggregation with exact decimal sums, so nothing
+depends on how rows are partitioned. Steps end when no centre moves by more than
+``TOLERANCE`` of the features' spread; if they do not, the fit fails.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.arrays import squared_distance
@@ -19,7 +23,8 @@ from tallywatch.operators.detectors.matrix import Matrix
 CLUSTERS = 8
 ALPHA = 0.9
 BETA = 5.0
-SEED = 42
+STEPS = 300
+TOLERANCE = 1e-6
 
 
 def large_clusters(sizes: list[int], alpha: float = ALPHA, beta: float = BETA) -> list[int]:
@@ -34,12 +39,39 @@ def large_clusters(sizes: list[int], alpha: float = ALPHA, beta: float = BETA) -
     return order
 
 
-def fit(m: Matrix, clusters: int = CLUSTERS, alpha: float = ALPHA, beta: float = BETA, seed: int = SEED):
-    vectors = m.df.select(array_to_vector("x").alias("features"))
-    model = KMeans(k=min(clusters, max(2, m.n_rows)), seed=seed, featuresCol="features").fit(vectors)
-    centres = model.clusterCenters()
-    sizes = {r["prediction"]: r["count"] for r in model.transform(vectors).groupBy("prediction").count().collect()}
-    large = large_clusters([sizes.get(i, 0) for i in range(len(centres))], alpha, beta)
+def _nearest(centres: np.ndarray) -> Column:
+    """Index of the nearest centre, the first of equals."""
+    distances = F.array(*[squared_distance(F.col("x"), c.tolist()) for c in centres])
+    return F.array_position(distances, F.array_min(distances)) - 1
+
+
+def _start(m: Matrix, clusters: int) -> np.ndarray:
+    key = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in m.keys]).cast("binary"))
+    first = m.df.groupBy("x").agg(F.min(key).alias("key")).orderBy("key").limit(clusters)
+    return np.array([r["x"] for r in first.collect()], dtype=float)
+
+
+def lloyd(m: Matrix, centres: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list[int]]:
+    """The final centres and the number of rows of each; a centre without rows stays where it is."""
+    sums = [F.sum(F.col("x")[i].cast("decimal(28,9)")).cast("double").alias(f"s{i}") for i in range(m.width)]
+    spread = m.df.agg(*[F.stddev_pop(F.col("x")[i]) for i in range(m.width)]).first()
+    scale = np.array([s if s else 1.0 for s in spread])
+    for _ in range(steps):
+        rows = m.df.withColumn("c", _nearest(centres)).groupBy("c").agg(F.count("*").alias("n"), *sums).collect()
+        after, sizes = centres.copy(), [0] * len(centres)
+        for r in rows:
+            after[r["c"]] = np.array([r[f"s{i}"] for i in range(m.width)]) / r["n"]
+            sizes[r["c"]] = r["n"]
+        moved = np.abs((after - centres) / scale).max()
+        centres = after
+        if moved <= tolerance:
+            return centres, sizes
+    raise RuntimeError(f"the clusters did not settle in {steps} steps")
+
+
+def fit(m: Matrix, clusters: int = CLUSTERS, alpha: float = ALPHA, beta: float = BETA):
+    centres, sizes = lloyd(m, _start(m, clusters))
+    large = large_clusters(sizes, alpha, beta)
     distances = [squared_distance(F.col("x"), centres[i].tolist()) for i in large]
 
     def score(df: DataFrame, name: str) -> DataFrame:

@@ -1,9 +1,14 @@
 """One-class support vector machine (Schoelkopf et al. 2001) with random Fourier
 features (Rahimi and Recht 2007) in place of the kernel.
 
-The kernel needs all pairs; the random features make the model linear, and each
-training step is one pass that adds up a fixed number of sums. Features are
-standardised first, because the kernel width is set for unit scale.
+The kernel needs all pairs; the random features make the model linear. Its weight is the
+shortest vector among the weighted means of rows in which no row has more than
+1 / (nu n). Each step is one pass over all rows: it finds the nu n rows that score lowest,
+from counts and sums in narrow ranges of the score, and their mean. The next weight is the
+shortest combination of the means found so far. Steps end when the duality gap is at most
+``TOLERANCE`` of the squared length; if they do not, the fit fails. The offset is the nu
+quantile of the scores. Features are standardised first, because the kernel width is set
+for unit scale.
 """
 
 from __future__ import annotations
@@ -17,7 +22,10 @@ from tallywatch.operators.detectors.matrix import Matrix
 
 NU = 0.5
 COMPONENTS = 128
-STEPS = 10
+STEPS = 200
+TOLERANCE = 0.02
+#: Ranges of the score in one pass.
+BINS = 512
 SEED = 42
 
 
@@ -43,49 +51,98 @@ def _lift(width: int, components: int, gamma: float, seed: int, mean, std):
     return lift
 
 
-def _sums(m: Matrix, lift, components: int, weight: np.ndarray | None, rho: float) -> np.ndarray:
-    """Totals over the rows scoring below ``rho`` (all rows without a weight):
-    the lifted components and, last, the row count."""
+def _ranges(m: Matrix, lift, components: int, weight: np.ndarray, lo: float, hi: float,
+            with_sums: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Per range of the score between ``lo`` and ``hi``: rows, and sums of the lifted components.
+
+    Scores outside count in the first or last range. At most ``BINS`` rows per task.
+    """
 
     def partial(batches):
-        total = np.zeros(components + 1)
+        total = np.zeros((BINS, components + 1))
         for batch in batches:
             if len(batch) == 0:
                 continue
             lifted = lift(batch["x"])
-            if weight is not None:
-                lifted = lifted[lifted @ weight < rho]
-            total[:components] += lifted.sum(axis=0)
-            total[components] += len(lifted)
-        yield pd.DataFrame({"part": np.arange(len(total)), "total": total})
+            at = np.clip(((lifted @ weight - lo) / (hi - lo) * BINS).astype(np.int64), 0, BINS - 1)
+            total[:, components] += np.bincount(at, minlength=BINS)
+            if with_sums:
+                order = np.argsort(at, kind="stable")
+                used, first = np.unique(at[order], return_index=True)
+                total[used, :components] += np.add.reduceat(lifted[order], first, axis=0)
+        used = np.flatnonzero(total[:, components])
+        rows = total[used] if with_sums else total[used, components:]
+        yield pd.DataFrame({"bin": used, "part": list(rows)})
 
     rows = (
-        m.df.select("x").mapInPandas(partial, "part int, total double")
-        .groupBy("part").agg(F.sum("total").alias("total")).collect()
+        m.df.select("x").mapInPandas(partial, "bin int, part array<double>")
+        .select("bin", F.posexplode("part").alias("i", "v"))
+        .groupBy("bin", "i").agg(F.sum("v").alias("v")).collect()
     )
-    out = np.zeros(components + 1)
+    out = np.zeros((BINS, components + 1))
+    shift = 0 if with_sums else components
     for row in rows:
-        out[row["part"]] = row["total"]
-    return out
+        out[row["bin"], row["i"] + shift] = row["v"]
+    return out[:, components], out[:, :components]
+
+
+def _lowest(counts: np.ndarray, sums: np.ndarray, bound: float) -> np.ndarray:
+    """The mean of the ``bound`` lowest rows, the last range taken in part."""
+    upto = np.cumsum(counts)
+    share = np.clip((bound - (upto - counts)) / np.maximum(counts, 1), 0.0, 1.0)
+    return share @ sums / bound
+
+
+def _shortest(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shortest vector in the convex hull of ``points`` and its coefficients, by pairwise exchange."""
+    gram = points @ points.T
+    c = np.full(len(points), 1.0 / len(points))
+    for _ in range(20_000):
+        slope = gram @ c
+        down = int(slope.argmin())
+        up = int(np.where(c > 0, slope, -np.inf).argmax())
+        bend = gram[down, down] + gram[up, up] - 2 * gram[down, up]
+        if slope[up] - slope[down] <= 1e-9 * abs(slope[down]) or bend <= 0:
+            break
+        move = min(c[up], (slope[up] - slope[down]) / bend)
+        c[down] += move
+        c[up] -= move
+    return c @ points, c
+
+
+def _train(m: Matrix, lift, nu: float, components: int, steps: int, tolerance: float) -> tuple[np.ndarray, float]:
+    bound = nu * m.n_rows
+    # Scores of 0 for the zero weight: one range holds all rows, whose mean is the start.
+    counts, sums = _ranges(m, lift, components, np.zeros(components), -1.0, 1.0)
+    weight = sums.sum(axis=0) / m.n_rows
+    means = weight[None]
+    for _ in range(steps):
+        reach = max(float(np.sqrt(2.0 * (weight @ weight))), 1e-12)
+        counts, sums = _ranges(m, lift, components, weight, -reach, reach)
+        lowest = _lowest(counts, sums, bound)
+        if weight @ (weight - lowest) <= tolerance * (weight @ weight):
+            break
+        weight, share = _shortest(np.concatenate([means, lowest[None]]))
+        means = np.concatenate([means, lowest[None]])[share > 1e-12]
+    else:
+        raise RuntimeError(f"the one-class model did not converge in {steps} steps")
+    # The nu quantile of the scores, its range divided once more.
+    lo, hi = -reach, reach
+    for finer in (False, True):
+        if finer:
+            counts, _ = _ranges(m, lift, components, weight, lo, hi, with_sums=False)
+        upto = np.cumsum(counts)
+        at = min(int(np.searchsorted(upto, bound)), BINS - 1)
+        lo, hi = lo + at * (hi - lo) / BINS, lo + (at + 1) * (hi - lo) / BINS
+    return weight, hi
 
 
 def fit(m: Matrix, nu: float = NU, gamma: float | None = None, components: int = COMPONENTS,
-        steps: int = STEPS, seed: int = SEED):
+        steps: int = STEPS, seed: int = SEED, tolerance: float = TOLERANCE):
     gamma = 1.0 / m.width if gamma is None else gamma
     mean, std = _standardiser(m)
     lift = _lift(m.width, components, gamma, seed, mean, std)
-
-    # Subgradient descent on |w|^2/2 - rho + sum(max(0, rho - w.z)) / (nu n).
-    bound = nu * m.n_rows
-    weight = _sums(m, lift, components, None, 0.0)[:components] / m.n_rows
-    rho = float(weight @ weight)
-    for step in range(1, steps + 1):
-        total = _sums(m, lift, components, weight, rho)
-        rate = 1.0 / (step + 1)
-        rho += rate * 0.5 * rho * (1.0 - total[components] / bound)
-        weight = (1.0 - rate) * weight + rate * total[:components] / bound
-
-    final_weight, final_rho = weight, rho
+    final_weight, final_rho = _train(m, lift, nu, components, steps, tolerance)
 
     @F.pandas_udf("double")
     def outside(x: pd.Series) -> pd.Series:

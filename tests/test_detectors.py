@@ -105,9 +105,28 @@ def test_path_length():
 
 
 def test_ocsvm_splits_about_nu(matrix):
-    for nu in (0.2, 0.5):
-        outside = ocsvm.fit(matrix, nu=nu, steps=40)(matrix.df, "s").where("s > 0").count() / matrix.n_rows
-        assert abs(outside - nu) < 0.15
+    for nu in (0.05, 0.2, 0.5):
+        outside = ocsvm.fit(matrix, nu=nu)(matrix.df, "s").where("s > 0").count() / matrix.n_rows
+        assert abs(outside - nu) < 0.02
+
+
+def test_ocsvm_fails_rather_than_stop_early(matrix):
+    with pytest.raises(RuntimeError):
+        ocsvm.fit(matrix, nu=0.02, steps=1, tolerance=1e-9)
+
+
+def test_clusters_are_those_of_lloyd(matrix):
+    start = cblof._start(matrix, 4)
+    centres, sizes = cblof.lloyd(matrix, start)
+    x = np.array([r["x"] for r in matrix.df.select("x").collect()])
+    want = start
+    for _ in range(300):
+        near = ((x[:, None] - want[None]) ** 2).sum(axis=2).argmin(axis=1)
+        after = np.array([x[near == k].mean(axis=0) if (near == k).any() else want[k] for k in range(4)])
+        if np.abs(after - want).max() < 1e-9:
+            break
+        want = after
+    assert np.allclose(centres, want, atol=1e-4) and sizes == np.bincount(near, minlength=4).tolist()
 
 
 def test_unknown_detector(history):

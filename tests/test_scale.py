@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywatch.functions import joins, ranks
-from tallywatch.operators.detectors import build_matrix, copod, iforest, knn
+from tallywatch.operators.detectors import build_matrix, cblof, copod, hbos, iforest, knn, ocsvm
 from tallywatch.operators.detectors.matrix import Matrix
 from tallywatch.operators.features import build_features
 from tests.series import START, noisy
@@ -110,7 +110,7 @@ def test_partitioning_does_not_change_scores(spark):
     history = noisy(spark, segments=6)
     one = build_matrix(build_features(history.coalesce(1), "grp"), "grp")
     many = build_matrix(build_features(history.repartition(7), "grp"), "grp")
-    for fit in (iforest.fit, knn.fit, copod.fit):
+    for fit in (iforest.fit, knn.fit, copod.fit, hbos.fit, cblof.fit, ocsvm.fit):
         a = {(r["grp"], r["date"]): r["s"] for r in fit(one)(one.df, "s").collect()}
         b = {(r["grp"], r["date"]): r["s"] for r in fit(many)(many.df, "s").collect()}
         assert a.keys() == b.keys()
