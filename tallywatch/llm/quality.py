@@ -173,3 +173,57 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document is kept; rows with one id share a verdict, the strictest."""
     bad = judge(docs, id_col, **options).where(~F.col("kept")).select(F.col(id_col).alias("_bad")).distinct()
     return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+
+
+def quality_sql(table: str = "documents") -> str:
+    """The same verdicts in DuckDB, for tables whose ids are distinct."""
+    share = "CASE WHEN {1} = 0 THEN 0 ELSE {2} * {0} // {1} END"
+    parts = (("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"), ("n_upper", "word_chars"))
+    shares = ", ".join(f"{share.format(a, b, GRAIN)} AS {m}" for m, (a, b) in zip(MEASURES, parts))
+    cells = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS bucket FROM judged WHERE NOT base_failed" for m in MEASURES)
+    slack = "CASE measure " + " ".join(f"WHEN '{m}' THEN {s}" for m, s in MEASURES.items()) + " END"
+
+    def level(name: str, group: str) -> str:
+        by = f"{group}, measure" if group else "measure"
+        out = f"{group}, " if group else ""
+        picked = ", ".join(f"max(CASE WHEN measure = '{m}' THEN fence END) AS {m}" for m in MEASURES)
+        return f"""
+{name}_ranked AS (SELECT {by}, bucket, count(*) OVER (PARTITION BY {by}) AS docs,
+  count(*) OVER (PARTITION BY {by} ORDER BY bucket) AS upto FROM cells),
+{name}_q AS (SELECT {by}, max(docs) AS docs, min(bucket) FILTER (WHERE upto >= {MIDDLE} * docs) AS low,
+  min(bucket) FILTER (WHERE upto >= {UPPER} * docs) AS high FROM {name}_ranked GROUP BY {by}),
+{name} AS (SELECT {out}max(docs) AS docs, {picked}
+  FROM (SELECT *, high + greatest(CAST({slack} AS DOUBLE), {REACH} * (high - low)) AS fence FROM {name}_q)
+  {"GROUP BY " + group if group else ""})"""
+
+    limits = ", ".join(
+        f"CASE WHEN o.docs >= {LEAST_DOCS} THEN o.{m} WHEN l.docs >= {LEAST_DOCS} THEN l.{m} ELSE a.{m} END AS max_{m}" for m in MEASURES)
+    within = " AND ".join(f"{m} <= coalesce(max_{m}, {GRAIN})" for m in MEASURES)
+    return f"""
+WITH texts AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM {table}),
+grams AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM texts, unnest(range(1, len(words) - 1)) AS t(i)),
+twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
+counted AS (
+  SELECT texts.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
+              - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+         length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS n_upper
+  FROM texts LEFT JOIN covered ON covered.doc_id = texts.doc_id),
+judged AS (
+  SELECT *, {shares}, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted),
+cells AS ({cells}),{level("own", "lang, source")},{level("by_lang", "lang")},{level("overall", "")},
+limits AS (
+  SELECT o.lang, o.source, {limits} FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang, overall a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept,
+       {", ".join(f"CAST({m} AS INTEGER) AS {m}" for m in MEASURES)}, {", ".join(f"max_{m}" for m in MEASURES)}
+FROM judged j LEFT JOIN limits t ON t.lang IS NOT DISTINCT FROM j.lang AND t.source IS NOT DISTINCT FROM j.source
+"""

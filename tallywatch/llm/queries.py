@@ -85,4 +85,4 @@ QUERIES = {
     "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op8_surrogates": op8_surrogates, "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {"op4_hash_shards": sharding.shards_sql()}
+ORACLE: dict[str, str] = {"op1_quality_rules": quality.quality_sql(), "op4_hash_shards": sharding.shards_sql()}
