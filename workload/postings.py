@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywatch.functions import text
-from tallywatch.functions.states import CODE_PATTERN, NAME_PATTERN, STATE_CODES, STATE_NAMES, squeeze
 from tallywatch.operators import cleaning, geography, occupation
 from tallywatch.plans import grains
+from workload.fixed import CODE_PATTERN, NAME_PATTERN, STATE_NAMES
 from workload.tables import FIX_ROWS, POSTINGS, STATE_ROWS, day, maps, postings, sql_rows
 
 QUERIES, ORACLE = {}, {}
@@ -23,8 +23,8 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-_CODES = ", ".join(f"'{c}'" for c in STATE_CODES)
-_NAME_CASES = " ".join(f"WHEN '{squeeze(n)}' THEN '{c}'" for c, n in STATE_NAMES.items())
+_CODES = ", ".join(f"'{c}'" for c in STATE_NAMES)
+_NAME_CASES = " ".join(f"WHEN '{n.replace(' ', '').upper()}' THEN '{c}'" for c, n in STATE_NAMES.items())
 _PAD = "CASE WHEN length({0}) < 5 THEN lpad({0}, 5, '0') ELSE {0} END"
 
 REPAIRED = POSTINGS + f""",

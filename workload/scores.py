@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from tallywatch.functions.ranks import exact_quantiles
 from tallywatch.operators import ensemble, features
 from tallywatch.operators.detectors import build_matrix, resolve
-from tallywatch.operators.features import FEATURES
 from tallywatch.plans.detect import detect
 from tallywatch.sources.scratch import spread
+from workload.fixed import FEATURES
 from workload.series import EVENT_FEATURES, FLAG_OUT, G, KEYS, _flag_select
 from workload.tables import day, events_daily, orders_daily, r6
 

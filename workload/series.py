@@ -12,6 +12,7 @@ from tallywatch.functions import dates, text
 from tallywatch.plans.detect import detect_zscore
 from tallywatch.sources import ledger
 from tallywatch.sources.scratch import new_folder
+from workload.fixed import FEATURES
 from workload.tables import (
     EVENT_ROWS, EVENTS_DAILY, LINEITEM_DAILY, ORDERS_DAILY, day, event_rows, events_daily, lineitem_daily, load,
     orders_daily, r6,
@@ -247,14 +248,14 @@ for _name, _columns in FEATURE_QUERIES.items():
     query(_name, f"WITH {EVENT_FEATURES} {_feature_out(_columns, 'full_feat')}")(_feature_query(_columns))
 
 
-@query("feature_table", f"WITH {EVENT_FEATURES} {_feature_out(features.FEATURES, 'feat')}")
+@query("feature_table", f"WITH {EVENT_FEATURES} {_feature_out(FEATURES, 'feat')}")
 def feature_table(spark, sf):
-    return _feature_select(features.build_features(events_daily(spark, sf), G), features.FEATURES)
+    return _feature_select(features.build_features(events_daily(spark, sf), G), FEATURES)
 
 
-@query("feature_table_orders", f"WITH {feature_sql(ORDERS_DAILY)} {_feature_out(features.FEATURES, 'feat')}")
+@query("feature_table_orders", f"WITH {feature_sql(ORDERS_DAILY)} {_feature_out(FEATURES, 'feat')}")
 def feature_table_orders(spark, sf):
-    return _feature_select(features.build_features(orders_daily(spark, sf), G), features.FEATURES)
+    return _feature_select(features.build_features(orders_daily(spark, sf), G), FEATURES)
 
 
 DENSE = ORDERS_DAILY.replace("daily AS", "present AS") + """,
@@ -266,10 +267,10 @@ daily AS (
 )"""
 
 
-@query("dense_calendar_features", f"WITH {feature_sql(DENSE)} {_feature_out(features.FEATURES, 'feat')}")
+@query("dense_calendar_features", f"WITH {feature_sql(DENSE)} {_feature_out(FEATURES, 'feat')}")
 def dense_calendar_features(spark, sf):
     filled = features.fill_calendar(orders_daily(spark, sf), G)
-    return _feature_select(features.build_features(filled, G), features.FEATURES)
+    return _feature_select(features.build_features(filled, G), FEATURES)
 
 
 HOLIDAYS = (dt.date(1997, 1, 1), dt.date(1997, 7, 4), dt.date(1997, 12, 25))
