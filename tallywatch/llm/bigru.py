@@ -22,6 +22,8 @@ WORD_BUCKETS = 1 << 16
 GRAM_BUCKETS = 1 << 17
 GRAMS = (3, 5)
 CHUNK = 2048
+#: Words hashed and embedded at once.
+BLOCK = 16_384
 STEPS = 400
 BATCH = 128
 RATE = 0.01
@@ -47,6 +49,16 @@ def hashed(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
     Every word has grams: one that is shorter than a gram, marks included, is filled up.
     """
+    parts = [_hashed(data, bounds[at:at + BLOCK + 1]) for at in range(0, len(bounds) - 1, BLOCK)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+    counts = np.concatenate([np.diff(p[2]) for p in parts])
+    return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]),
+            np.concatenate([[0], np.cumsum(counts)]))
+
+
+def _hashed(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data, bounds = data[bounds[0]:bounds[-1]], bounds - bounds[0]
     n = len(bounds) - 1
     lengths = np.diff(bounds)
     # A mark before and after each word, and behind all words room for the longest gram.
@@ -121,10 +133,12 @@ class BiGru:
 
     def inputs(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The vector of each word: embedding, characters."""
-        if len(bounds) == 1:
-            return np.zeros((0, 2 * EMBED), np.float32)
-        words, grams, at = hashed(data, bounds)
-        return np.concatenate([self.word[words], self.pooled_grams(grams, at)[0]], axis=1)
+        out = np.empty((len(bounds) - 1, 2 * EMBED), np.float32)
+        for begin in range(0, len(out), BLOCK):
+            words, grams, at = _hashed(data, bounds[begin:begin + BLOCK + 1])
+            rows = slice(begin, begin + len(words))
+            out[rows, :EMBED], out[rows, EMBED:] = self.word[words], self.pooled_grams(grams, at)[0]
+        return out
 
     # ---- windows ----
 
@@ -331,14 +345,20 @@ def _likeliest(net: BiGru, data, bounds, codes, owner, n_texts: int) -> tuple[np
 
 def _known(codes: np.ndarray, owner: np.ndarray, none: int, words: np.ndarray, grams: np.ndarray,
            gram_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word and gram buckets that occur in at least ``LEAST_TEXTS`` texts."""
-    there = codes < none
-    pairs = np.unique(np.repeat(owner, there.sum(axis=1)) * (none + 1) + codes[there])
-    text, word = pairs // (none + 1), pairs % (none + 1)
-    in_texts = lambda t, b, n: np.bincount(np.unique(t * n + b) % n, minlength=n) >= LEAST_TEXTS
-    sizes = np.diff(gram_at)[word]
-    flat = np.repeat(gram_at[:-1][word], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return in_texts(text, words[word], WORD_BUCKETS), in_texts(np.repeat(text, sizes), grams[flat], GRAM_BUCKETS)
+    """The word and gram buckets that occur in at least ``LEAST_TEXTS`` texts, counted some texts at a time."""
+    seen_word, seen_gram = np.zeros(WORD_BUCKETS, np.int32), np.zeros(GRAM_BUCKETS, np.int32)
+    sizes = np.diff(gram_at)
+    for begin in range(0, int(owner.max(initial=-1)) + 1, 64):
+        rows = slice(*np.searchsorted(owner, [begin, begin + 64]))
+        there = codes[rows] < none
+        pairs = np.unique(np.repeat(owner[rows], there.sum(axis=1)) * (none + 1) + codes[rows][there])
+        text, word = pairs // (none + 1), pairs % (none + 1)
+        seen_word += np.bincount(np.unique(text * WORD_BUCKETS + words[word]) % WORD_BUCKETS, minlength=WORD_BUCKETS).astype(np.int32)
+        n = sizes[word]
+        flat = np.repeat(gram_at[:-1][word], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        grams_here = np.unique(np.repeat(text, n) * GRAM_BUCKETS + grams[flat]) % GRAM_BUCKETS
+        seen_gram += np.bincount(grams_here, minlength=GRAM_BUCKETS).astype(np.int32)
+    return seen_word >= LEAST_TEXTS, seen_gram >= LEAST_TEXTS
 
 
 def _rows_step(adam: _Adam, name: str, table: np.ndarray, rows: np.ndarray, grads: np.ndarray, scale: float) -> None:

@@ -35,7 +35,7 @@ BLOCK = 64
 SHARD_SLOTS = 1024
 PART_ROWS = 4_000
 PART_SHARDS = 4096
-CELLS = 65_536
+CELLS = 4_096
 SEED = 7
 
 
