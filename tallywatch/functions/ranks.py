@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 50_000
 RANGE_ROWS = 500_000
-MAX_RANGES = 512
 CUT_SAMPLE = 20_000
 
 
@@ -32,9 +30,9 @@ def value_counts(cells: DataFrame) -> DataFrame:
 def running_counts(counts: DataFrame, n_rows: int, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add ``upto``: the number of cells of the feature with a value at most this one.
 
-    ``n_rows`` bounds the distinct values of one feature.
+    ``n_rows`` bounds the distinct values of one feature; the number of ranges follows it.
     """
-    ranges = min(MAX_RANGES, -(-n_rows // range_rows))
+    ranges = -(-n_rows // range_rows)
     if ranges <= 1:
         order = Window.partitionBy("feature").orderBy("value")
         return counts.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -57,7 +55,7 @@ def running_counts(counts: DataFrame, n_rows: int, range_rows: int = RANGE_ROWS)
     )
     inside = Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_RANGES rows per feature.
+    # One row per range and feature.
     offsets = (
         ranged.groupBy("feature", "range").agg(F.sum("n").alias("total"))
         .select("feature", "range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
@@ -69,15 +67,8 @@ def running_counts(counts: DataFrame, n_rows: int, range_rows: int = RANGE_ROWS)
     )
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], q: float, n_rows: int, small_rows: int = SMALL_ROWS,
-                    range_rows: int = RANGE_ROWS) -> DataFrame:
-    """One row holding the interpolated ``q`` quantile of every column, nulls skipped.
-
-    Up to ``small_rows`` rows Spark's own aggregate does it, which holds all distinct
-    values of all columns in one task.
-    """
-    if n_rows <= small_rows:
-        return df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(q)).alias(c) for c in columns])
+def exact_quantiles(df: DataFrame, columns: list[str], q: float, n_rows: int, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """One row holding the interpolated ``q`` quantile of every column, nulls skipped; null for a column without values."""
     ranked = running_counts(value_counts(stack_columns(df, columns)), n_rows, range_rows)
     sized = ranked.groupBy("feature").agg(F.sum("n").alias("cells"))
     position = F.lit(q) * (F.col("cells") - 1)

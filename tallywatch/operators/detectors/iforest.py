@@ -55,8 +55,11 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list
 
 
 def _subsamples(m: Matrix, trees: int, subsample: int, seed: int) -> DataFrame:
-    """(tree, pick, x): somewhat more than ``subsample`` rows per tree, by key hash."""
-    share = 1.0 if m.n_rows <= 2 * subsample else 1.5 * subsample / m.n_rows
+    """(tree, pick, x): somewhat more than ``subsample`` rows per tree, those with the smallest key hashes.
+
+    The tree takes the ``subsample`` smallest of them, so the surplus changes nothing.
+    """
+    share = min(1.0, 1.5 * subsample / max(1, m.n_rows))
     draw = lambda t: F.pmod(F.xxhash64(t, F.lit(seed), *m.keys), F.lit(_BUCKETS))
     all_trees = F.sequence(F.lit(0), F.lit(trees - 1))
     mine = F.filter(all_trees, lambda t: draw(t) < F.lit(int(share * _BUCKETS)))

@@ -23,7 +23,6 @@ from tallywatch.sources.scratch import materialise, spread
 
 NEIGHBOURS = 5
 CELL_POINTS = 500
-ONE_CELL = 4
 MAX_CELLS = 32_768
 MAX_VISITORS = 8_000
 SPLIT_SAMPLE = 20_000
@@ -158,13 +157,13 @@ def neighbour_distances(m: Matrix, k: int = NEIGHBOURS, cell_points: int = CELL_
 
 def _in_cells(m: Matrix, cell_points: int) -> tuple[DataFrame, int]:
     """(pid, x, n, cell): the distinct points, their number of rows and their cell; and
-    the number of cells aimed at, which is one for few points."""
+    the number of cells aimed at."""
     distinct = spread(m.df.groupBy("x").agg(F.count("*").alias("n")), "x")
     points = materialise(distinct.withColumn("pid", F.monotonically_increasing_id()), "points")
     total = points.count()
     cells = min(MAX_CELLS, -(-total // cell_points))
     per_cell = 2 * max(cell_points, -(-total // MAX_CELLS))
-    if total <= ONE_CELL * cell_points:
+    if cells <= 1:
         return points.withColumn("cell", F.lit(0).cast("long")), 1
 
     every = max(1, total // max(SPLIT_SAMPLE, SAMPLE_PER_CELL * cells))
