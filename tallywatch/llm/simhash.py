@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywatch.functions.joins import HOT_SHARE, join_frequent_apart
 from tallywatch.llm.components import connected_components
 from tallywatch.llm.words import pieces
 from tallywatch.sources.scratch import materialise
@@ -268,36 +269,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = materialise(
         docs.select(F.col(id_col).alias(id_col), fingerprint(F.col(text_col), shingle, seed).alias("fp")),
         "fingerprints")
-    merged = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
-    roots = connected_components(linked_fingerprints(merged, distance, unit_rows))
-    # A group that a third of all documents belong to is still one row for each of its fingerprints.
-    labelled = merged.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("label"))
+    labelled = _labelled(prints, F.min(id_col), distance, unit_rows)
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = labelled.join(smallest, "label").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: the smallest id of each group stays.
+def _labelled(prints: DataFrame, least: Column, distance: int, unit_rows: int) -> DataFrame:
+    """(fp, least, label): each distinct fingerprint, an aggregate of its rows, and the root of its group."""
+    merged = materialise(prints.groupBy("fp").agg(least.alias("least")), "distinct-fingerprints")
+    roots = connected_components(linked_fingerprints(merged, distance, unit_rows))
+    # A group that a third of all documents belong to is still one row for each of its fingerprints.
+    return merged.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("label"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE, seed: int = SEED, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, with its columns.
 
-    Rows that share an id are versions of one document, of which the one with the
-    smallest text stays; a null id counts as an id. Columns are those of ``docs``.
+    The row with the smallest id stays. A null id comes after all others, and of rows
+    with one id those with a null text come last, the others in the order of a row hash.
+    Ids do not tie rows together: rows of different groups all stay, whether their ids
+    are null, equal or neither.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_kept")).distinct()
-    # Semi join on the id, then one row for each id: both use the same partitioning.
-    rows = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
-    repeated = found.groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1").select(
-        F.col(id_col).alias("_again"))
-    again = materialise(repeated, "repeated-ids")
-    single = rows.join(again, rows[id_col].eqNullSafe(again["_again"]), "left_anti")
-    if again.isEmpty():
-        return rows
     columns = [F.col(c) for c in docs.columns]
-    several = rows.join(again, rows[id_col].eqNullSafe(again["_again"]), "left_semi")
-    order = [F.min_by(F.struct(*columns), F.struct(F.col(text_col), F.xxhash64(*columns))).alias("row")]
-    one = several.groupBy(id_col).agg(*order).select("row.*")
-    return single.unionByName(one)
+    # Maps have no hash of their own. A row is named by two hashes; rows whose texts are equal share a group anyway.
+    hashed = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema]
+    a = F.xxhash64(F.lit(1), F.col(text_col)).alias("a")
+    b = F.xxhash64(*hashed, *[c.isNull() for c in columns]).alias("b")
+    own = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(text_col).isNull().alias("no_text"), b, a)
+    prints = materialise(docs.select(fingerprint(F.col(text_col), shingle, seed).alias("fp"), own.alias("own")), "fingerprints")
+    labelled = _labelled(prints, F.min("own"), distance, unit_rows)
+    chosen = materialise(labelled.groupBy("label").agg(F.min("least").alias("own")).select("own.a", "own.b"), "chosen-rows")
+    repeated = materialise(
+        prints.groupBy("own.a", "own.b").agg(F.count("*").alias("n")).where("n > 1"), "repeated-rows")
+    rows = docs.select(F.struct(*columns).alias("row"), a, b)
+    key = ["a", "b"]
+    if repeated.isEmpty():
+        return rows.join(chosen, key, "left_semi").select("row.*")
+    # Rows that are repeated as a whole: the very frequent ones, chosen or not, stay out of the
+    # shuffle join, and the chosen ones are reduced to one on the map side.
+    total = prints.count()
+    frequent = repeated.where(F.col("n") * HOT_SHARE >= F.lit(total))
+    once = chosen.join(repeated, key, "left_anti")
+    single = rows.join(F.broadcast(frequent), key, "left_anti").join(once, key, "left_semi")
+    several = join_frequent_apart(rows, repeated.join(chosen, key, "left_semi"), key, "n", total)
+    one = several.groupBy(*key).agg(F.first("row").alias("row"))
+    return single.select("row.*").unionByName(one.select("row.*"))

@@ -86,6 +86,19 @@ def test_keep_one(spark):
     assert simhash.keep_one(edge.empty(spark)).count() == 0
 
 
+def test_keep_one_goes_by_group_not_by_id(spark):
+    words = lambda k: " ".join(f"w{(k * 7919 + j * j * 31) % 99991}" for j in range(60))
+    rows = [(None, words(k), {"k": k}) for k in range(20)]  # null ids, unrelated texts
+    rows += [(7, words(100 + k), {"k": k}) for k in range(20)]  # one id, unrelated texts
+    rows += [(None, words(100), None), (3, words(0), None)]  # a copy without an id, and one with
+    rows += [(50, words(200), None)] * 40 + [(51, words(200), None)] * 40  # whole rows repeated
+    rows += [(60, None, None), (60, "", None), (61, " ", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,long>").repartition(5)
+    out = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect())
+    want = {(None, words(k)) for k in range(1, 20)} | {(7, words(100 + k)) for k in range(20)}
+    assert out == Counter(want | {(3, words(0)), (50, words(200)), (60, "")})
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 50)]
