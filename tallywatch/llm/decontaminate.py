@@ -12,7 +12,13 @@
    whose latent vectors have a cosine of at least ``COSINE`` are a candidate, if the window's
    vector along the passage's is at least ``HELD`` times as long: one that holds the passage
    holds all of its vector besides its own.
-4. A candidate is confirmed on the words around the window: the longest common subsequence
+4. Besides, every item that shares enough neighbouring words with a stretch of text is a
+   candidate, whatever the latent vectors say. Of an item of n words a common subsequence of
+   k keeps at least 2 k - n - 1 pairs of neighbours; so many pairs of the item are looked for
+   in twice its length. This finds all items that are there word for word, or with words
+   replaced or left out up to ``LCS_SHARE``, however large the benchmark is. What has words
+   put in between as well depends on the latent search.
+5. A candidate is confirmed on the words around the window: the longest common subsequence
    must hold ``LCS_SHARE`` of the item's words, distinct words worth ``WEIGHT_SHARE`` of its
    inverse document frequencies must be there, and of its answer, which is its last sentence
    (of a single sentence the last third), ``ANSWER_SHARE`` must be there in order. An item
@@ -52,6 +58,7 @@ SHORT = 8
 BLOCK = 5_000
 STOP_SHARE, STOP_TEXTS = 0.05, 100
 PIECE = 1_500_000
+HITS = 2_000_000
 OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -93,6 +100,26 @@ class Items:
     basis: np.ndarray
     idf: np.ndarray
 
+    def __post_init__(self):
+        """The sorted keys of all neighbouring pairs, and the items that hold each."""
+        pairs = [np.unique(_pairs(t)) if len(t) > 1 else _pairs(np.append(t, EMPTY)) for t in self.terms]
+        keys = np.concatenate([np.zeros(0, np.uint64), *pairs])
+        item = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
+        order = np.argsort(keys, kind="stable")
+        self.pair_items = item[order]
+        self.pair_keys, self.pair_first = np.unique(keys[order], return_index=True)
+        self.pair_first = np.append(self.pair_first, len(keys))
+        self.known = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.terms]))
+        self.sizes = np.array([len(t) for t in self.terms], np.int64)
+        kept = np.ceil(LCS_SHARE * self.sizes - 1e-9).astype(np.int64)
+        self.least_pairs = np.maximum(1, np.where(self.sizes < SHORT, self.sizes - 1, 2 * kept - self.sizes - 1))
+
+
+def _pairs(terms: np.ndarray) -> np.ndarray:
+    """A key for each term and the one after it; an item of one term is paired with ``EMPTY``."""
+    with np.errstate(over="ignore"):
+        return (terms[:-1] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) ^ (terms[1:] * np.uint64(0xBF58476D1CE4E5B9))
+
 
 def _passages(n: int) -> list[tuple[int, int]]:
     """The runs of ``WINDOW`` words, every ``STRIDE``, that cover ``n`` words."""
@@ -298,6 +325,52 @@ class _Judge:
         return common
 
 
+def _paired(terms: np.ndarray, codes: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, begin, end): stretches around enough of an item's neighbouring pairs within twice its length."""
+    known = np.isin(terms, items.known)[codes]
+    follows = known[:-1] & known[1:]
+    follows[bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(codes))] - 1] = False
+    at = np.flatnonzero(follows)
+    with np.errstate(over="ignore"):
+        left = terms * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)
+        right = np.append(terms, EMPTY) * np.uint64(0xBF58476D1CE4E5B9)
+    keys = left[codes[at]] ^ right[codes[at + 1]]
+    if (items.sizes == 1).any():
+        single = np.flatnonzero(known)
+        keys = np.concatenate([keys, left[codes[single]] ^ right[-1]])
+        at = np.concatenate([at, single])
+    if not len(keys) or not len(items.pair_keys):
+        return
+    spot = np.minimum(np.searchsorted(items.pair_keys, keys), len(items.pair_keys) - 1)
+    hit = items.pair_keys[spot] == keys
+    at, spot = at[hit], spot[hit]
+    text = np.searchsorted(bounds, at, side="right") - 1
+    n = items.pair_first[spot + 1] - items.pair_first[spot]
+    cells = int(np.diff(bounds).max(initial=0)) + 2
+    found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # So many hits at a time: a pair that many items hold has one for each.
+    for some in np.split(np.arange(len(at)), np.searchsorted(np.cumsum(n), np.arange(HITS, n.sum(), HITS))):
+        each = np.repeat(some, n[some])
+        if not len(each):
+            continue
+        within = np.arange(len(each)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+        item = items.pair_items[items.pair_first[spot[each]] + within]
+        cell = (at[each] - bounds[text[each]]) // items.sizes[item]
+        new, more = np.unique((text[each] * len(items.terms) + item) * cells + cell, return_counts=True)
+        found, back = np.unique(np.concatenate([found, new]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([counts, more])).astype(np.int64)
+    if not len(found):
+        return
+    item = found // cells % len(items.terms)
+    both = counts.copy()
+    next_to = found[1:] == found[:-1] + 1
+    both[:-1][next_to] += counts[1:][next_to]
+    for k in np.flatnonzero(both >= items.least_pairs[item]):
+        i, begin = int(item[k]), int(found[k] % cells) * int(items.sizes[item[k]])
+        # The stretch may begin before its first pair.
+        yield int(found[k] // cells // len(items.terms)), i, max(0, begin - int(items.sizes[i])), begin + 2 * int(items.sizes[i])
+
+
 def _search(texts: pa.Array, items: Items, judge: _Judge) -> list[list[tuple]]:
     """For each text the items found in it: (place in the block, cosine, common words, item's words)."""
     bounds, codes, distinct = coded_words(texts)
@@ -342,6 +415,14 @@ def _search(texts: pa.Array, items: Items, judge: _Judge) -> list[list[tuple]]:
             common = judge.confirm(i, words)
             if common:
                 out[t][i] = (cosine, common, n)
+    for t, i, begin, end in _paired(terms, codes, bounds, items):
+        if i in out[t]:
+            continue
+        common = judge.confirm(i, terms[codes[bounds[t] + begin:min(bounds[t + 1], bounds[t] + end)]].tolist())
+        if common:
+            here = slice(first[t] + max(0, begin // STRIDE - 1), min(first[t + 1], first[t] + end // STRIDE + 1))
+            cosine = (windows[here] @ items.latent[items.owner == i].T / size[here, None]).max()
+            out[t][i] = (float(cosine), common, len(items.terms[i]))
     return [[(i, *x) for i, x in sorted(found.items())] for found in out]
 
 

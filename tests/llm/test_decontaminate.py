@@ -71,6 +71,28 @@ def test_exact_and_paraphrased_items(spark, monkeypatch, block):
     assert kept == {r["doc_id"] for r in docs.collect()} - {a for a, _ in want}
 
 
+def test_short_items_of_a_large_benchmark(spark):
+    # Items of 8 to 14 words, each word for word in a text full of other items' words, or with a quarter replaced.
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(8, 14))] for _ in range(3000)]
+    items += [["zuzu"], ["zuzu", "zaza"]]
+    docs = []
+    for i in range(0, 3000, 10):
+        text = [w for k in rng.sample(range(3000), 40) for w in rng.sample(items[k], 6)]
+        passage = list(items[i])
+        if i % 20:
+            passage[1] = passage[4] = "zyzy"
+        at = rng.randrange(len(text))
+        docs.append((i, " ".join(text[:at] + passage + text[at:])))
+    docs.append((3000, "a zuzu"))
+    docs.append((3001, "zaza zuzu. zaza"))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in d.matches(docs, d.fit(docs, benchmark)).collect()}
+    assert {(i, i) for i in range(0, 3000, 10)} | {(3000, 3000), (3001, 3000), (3001, 3001)} <= got
+
+
 def test_every_planted_item_is_found(spark):
     docs, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     norm = lambda x: " " + " ".join(w.strip(d.OUTER) for w in x.lower().split()) + " "
