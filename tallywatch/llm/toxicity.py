@@ -38,16 +38,28 @@ def stretches(text: Column, key: Column, n: int = STRETCHES, length: int = bigru
     return let(words_of(text), cut)
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  label_col: str = "toxic", per_label: int = PER_LABEL) -> DataFrame:
+    """(id, label, s): the stretches of at most ``per_label`` documents of either label.
+
+    Of rows with one id a single one counts, named by a hash of its text, null texts last.
+    """
+    marks = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
+    chosen = bounded_sample(marks, "label", "id", per_label)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = texts.join(F.broadcast(chosen), "id").select(
+        "id", "label", stretches(F.col("text"), F.col("id")).alias("runs"),
+        F.struct(F.col("text").isNull(), F.xxhash64("text")).alias("order"))
+    # One row for each id, so at most per_label rows of either label, before runs become rows.
+    return found.groupBy("id", "label").agg(F.min_by("runs", "order").alias("runs")).select(
+        "id", "label", F.explode("runs").alias("s"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         per_label: int = PER_LABEL) -> bigru.BiGru:
     """The network. Labels other than 0 and 1, null included, are left out, as are documents
     without a label; an id labelled more than once counts with its largest label."""
-    marks = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
-    chosen = bounded_sample(marks, "label", "id", per_label)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # At most per_label rows of either label.
-    rows = texts.join(F.broadcast(chosen), "id").select(
-        "id", "label", F.explode(stretches(F.col("text"), F.col("id"))).alias("s")).collect()
+    rows = training_rows(docs, labels, id_col, text_col, label_col, per_label).collect()
     rows = sorted((r["id"], r["label"], r["s"]) for r in rows)
     ids = sorted({r[0] for r in rows})
     y = np.zeros(len(ids), dtype=np.int64)

@@ -106,3 +106,12 @@ def test_toxicity_of_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
     none = toxicity.fit(edge.empty(spark), labels.limit(0))
     assert toxicity.score(edge.empty(spark), none).count() == 0 and toxicity.keep_clean(docs, none).count() == docs.count()
+
+
+def test_a_repeated_id_is_one_training_document(spark):
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(900))
+    docs = spark.createDataFrame([(1, None)] + [(1, words(k)) for k in range(40)] + [(2, words(99))], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs.repartition(4), labels).collect()
+    assert {r["id"] for r in rows} == {1, 2} and len(rows) <= 2 * toxicity.STRETCHES
+    assert len({r["s"].split("x")[0] for r in rows if r["id"] == 1}) == 1
