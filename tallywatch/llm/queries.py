@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, langid, lm, mixing, quality, sharding, simhash, surrogates, tokenorder, toxicity
-from tallywatch.llm.words import bucket_of, load
+from tallywatch.llm import decontaminate, langid, lm, mixing, quality, runs, sharding, simhash, surrogates, tokenorder, toxicity
+from tallywatch.llm.words import bucket_of, let, load, words_of
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +80,38 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def planted_repeats(doc_id: Column, text: Column) -> Column:
+    """The text; for one id in ten, by its crc32 h, the words from a on become the first p of them over and over.
+
+    g = floor(h / 10), n words, a = g mod n, p = 1 + floor((n - a) / (3 + g mod 8)). A null id counts as empty text.
+    """
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        a = F.pmod(g, F.size(words)).cast("int")
+        p = 1 + F.floor((F.size(words) - a) / (3 + F.pmod(g, F.lit(8)))).cast("int")
+        return F.array_join(F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, a + (i - a) % p))), " ")
+
+    return F.when((h % 10 == 0) & (F.size(words_of(text)) > 0), let(words_of(text), repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, planted ones included, and the text without the repeats, as digests."""
+    docs = load(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", planted_repeats(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.collapse_runs(planted, into="periodic")
+    listed = found.select("doc_id", F.col("periodic.runs").alias("runs"), F.sha2(F.encode("periodic.collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+    return listed.withColumn("longest", runs.longest_run(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("(1000 * longest.length) div longest.period").alias("exponent_milli"),
+        F.sha2(F.encode(runs.runs_text(F.col("runs")), "UTF-8"), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op8_surrogates": op8_surrogates, "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLE: dict[str, str] = {"op1_quality_rules": quality.quality_sql(), "op4_hash_shards": sharding.shards_sql()}
