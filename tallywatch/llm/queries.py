@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, langid, lm, mixing, quality, runs, sharding, simhash, surrogates, tokenorder, toxicity
+from tallywatch.llm import decontaminate, langid, lm, mixing, phrases, quality, runs, sharding, simhash, surrogates, tokenorder, toxicity
 from tallywatch.llm.words import bucket_of, let, load, words_of
 
 
@@ -108,10 +108,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(runs.runs_text(F.col("runs")), "UTF-8"), 256).alias("runs_sha256"), "collapsed_sha256")
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to four words of every language, counted over all documents."""
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op8_surrogates": op8_surrogates, "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
-    "op12_periodic_runs": op12_periodic_runs,
+    "op12_periodic_runs": op12_periodic_runs, "op13_phrase_collocations": op13_phrase_collocations,
 }
-ORACLE: dict[str, str] = {"op1_quality_rules": quality.quality_sql(), "op4_hash_shards": sharding.shards_sql()}
+ORACLE: dict[str, str] = {"op1_quality_rules": quality.quality_sql(), "op4_hash_shards": sharding.shards_sql(),
+                          "op13_phrase_collocations": phrases.collocations_sql()}
