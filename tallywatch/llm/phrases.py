@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.joins import lookup
-from tallywatch.llm.words import byte_rows, hash64, pieces
+from tallywatch.llm.words import byte_rows, extended, hash64, in_bitmap, pieces, set_bits, word_spans
 from tallywatch.sources.scratch import materialise, new_folder
 
 LEAST = 30
@@ -55,12 +55,7 @@ class _Tokens:
         raw, bounds = byte_rows(texts)
         kind, self.bytes = _KIND[raw], _LOWER[raw]
         word = kind == 0
-        fresh = np.zeros(len(raw) + 1, dtype=bool)
-        fresh[bounds] = True
-        before = np.concatenate([[False], word[:-1]]) & ~fresh[:-1]
-        after = np.concatenate([word[1:], [False]]) & ~fresh[1:]
-        self.starts = np.flatnonzero(word & ~before)
-        self.ends = np.flatnonzero(word & ~after) + 1
+        self.starts, self.ends = word_spans(word, bounds)
         self.doc = np.searchsorted(bounds, self.starts, side="right") - 1
         # Neither separators nor the end of a text lie between words of one piece.
         self.piece = np.cumsum(kind == 2)[self.starts] + self.doc if len(raw) else np.zeros(0, np.int64)
@@ -69,27 +64,12 @@ class _Tokens:
         self.langs = coded.dictionary
         tags = hash64(*byte_rows(self.langs))
         hashes = hash64(self.bytes[word], np.concatenate([[0], np.cumsum(self.ends - self.starts)]))
-        self.hash = _extended(tags[self.lang_of[self.doc]], hashes) if len(hashes) else hashes
+        self.hash = extended(tags[self.lang_of[self.doc]], hashes) if len(hashes) else hashes
 
     def phrase(self, i: int, length: int) -> bytes:
         return b" ".join(self.bytes[self.starts[k]:self.ends[k]].tobytes() for k in range(i, i + length))
 
 
-def _extended(head: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The hash of a phrase from that of all but its last word and that word's."""
-    with np.errstate(over="ignore"):
-        out = head * np.uint64(0x9E3779B97F4A7C15) + word
-        out ^= out >> np.uint64(32)
-        out *= np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - int(len(bitmap) * 64).bit_length() + 1)
-    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
     for batch in batches:
         at = 0
@@ -106,14 +86,14 @@ def _levels(tokens: _Tokens, reached: np.ndarray, longest: int) -> Iterator[tupl
     at, hashes = np.arange(len(tokens.hash)), tokens.hash
     yield 1, at, hashes, hashes, hashes
     for length in range(2, longest + 1):
-        good = _has(reached, hashes)
+        good = in_bitmap(reached, hashes)
         at, hashes = at[good], hashes[good]
         if len(at) < 2:
             return
         pair = np.flatnonzero((at[1:] == at[:-1] + 1))
         pair = pair[tokens.piece[at[pair]] == tokens.piece[at[pair] + length - 1]]
         prefix, suffix, at = hashes[pair], hashes[pair + 1], at[pair]
-        hashes = _extended(prefix, tokens.hash[at + length - 1])
+        hashes = extended(prefix, tokens.hash[at + length - 1])
         yield length, at, hashes, prefix, suffix
 
 
@@ -131,8 +111,8 @@ def _shard_counts(shard: DataFrame, maps: list[np.ndarray], step: int, shards: i
                 begun = np.full(len(hashes), 0 if length == 1 else step)
                 if length > 1:
                     for k in range(len(maps) - 2, -1, -1):
-                        begun[_has(maps[k], prefix) & _has(maps[k], suffix)] = step - (len(maps) - 1 - k)
-                counted = (begun > step - shards) & ~_has(maps[-1], hashes)
+                        begun[in_bitmap(maps[k], prefix) & in_bitmap(maps[k], suffix)] = step - (len(maps) - 1 - k)
+                counted = (begun > step - shards) & ~in_bitmap(maps[-1], hashes)
                 distinct, first, n = np.unique(hashes[counted], return_index=True, return_counts=True)
                 if len(distinct):
                     yield pa.RecordBatch.from_arrays(
@@ -142,17 +122,6 @@ def _shard_counts(shard: DataFrame, maps: list[np.ndarray], step: int, shards: i
     return shard.mapInArrow(count, "hash long, n long, until int")
 
 
-def _with_reached(bitmap: np.ndarray, counts: DataFrame, least: int) -> np.ndarray:
-    """The bitmap with the phrases that have reached the threshold; one row for each 64 bits reaches the driver."""
-    bits = int(len(bitmap) * 64).bit_length() - 1
-    place = F.shiftrightunsigned("hash", 64 - bits)
-    words = counts.where(F.col("n") >= least).groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63L AS INT)))").alias("bits")).toArrow()
-    out = bitmap.copy()
-    out[words["word"].to_numpy()] |= words["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def _scan_in_circles(read: Callable[[int], DataFrame], shards: int, least: int, longest: int, bits: int) -> np.ndarray:
     """The bitmap of all phrases that reach the threshold, and perhaps of some that do not."""
     maps = [np.zeros(1 << bits - 6, dtype=np.uint64)]
@@ -164,7 +133,7 @@ def _scan_in_circles(read: Callable[[int], DataFrame], shards: int, least: int,
         if state is not None:
             counts = counts.unionByName(state)
         merged = materialise(counts.groupBy("hash").agg(F.sum("n").alias("n"), F.max("until").alias("until")), "running-counts")
-        maps.append(_with_reached(maps[-1], merged, least))
+        maps.append(set_bits(maps[-1], merged.where(F.col("n") >= least)))
         state = merged.where((F.col("n") < least) & (F.col("until") > step))
     return maps[-1]
 
@@ -191,7 +160,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         for tokens in _each(batches):
             langs, lengths, phrases, ns = [], [], [], []
             for length, at, hashes, _, _ in _levels(tokens, reached.value, longest):
-                good = _has(reached.value, hashes)
+                good = in_bitmap(reached.value, hashes)
                 _, first, n = np.unique(hashes[good], return_index=True, return_counts=True)
                 places = at[good][first]
                 langs.append(tokens.lang_of[tokens.doc[places]])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, langid, lm, mixing, phrases, quality, runs, sharding, simhash, surrogates, tokenorder, toxicity
+from tallywatch.llm import decontaminate, jaccard, langid, lm, mixing, phrases, quality, runs, sharding, simhash, surrogates, tokenorder, toxicity
 from tallywatch.llm.words import bucket_of, let, load, words_of
 
 
@@ -80,6 +80,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by the Jaccard similarity of word shingles."""
+    return jaccard.shingle_classes(load(spark, sf_dir, "documents"))
+
+
 def planted_repeats(doc_id: Column, text: Column) -> Column:
     """The text; for one id in ten, by its crc32 h, the words from a on become the first p of them over and over.
 
@@ -117,7 +122,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules, "op2_lattice_lm": op2_lattice_lm, "op3_toxicity": op3_toxicity, "op4_hash_shards": op4_hash_shards,
     "op5_training_order": op5_training_order, "op6_simhash_dedup": op6_simhash_dedup, "op7_mix_sources": op7_mix_sources,
     "op8_surrogates": op8_surrogates, "op9_latent_decontamination": op9_latent_decontamination, "op10_language_id": op10_language_id,
-    "op12_periodic_runs": op12_periodic_runs, "op13_phrase_collocations": op13_phrase_collocations,
+    "op11_jaccard_join": op11_jaccard_join, "op12_periodic_runs": op12_periodic_runs, "op13_phrase_collocations": op13_phrase_collocations,
 }
 ORACLE: dict[str, str] = {"op1_quality_rules": quality.quality_sql(), "op4_hash_shards": sharding.shards_sql(),
                           "op13_phrase_collocations": phrases.collocations_sql()}

@@ -93,3 +93,38 @@ def hash64(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         out *= np.uint64(0x94D049BB133111EB)
         out ^= out >> np.uint64(29)
     return out if n else np.zeros(0, np.uint64)
+
+
+def word_spans(word: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the stretches of word bytes; a stretch does not cross ``bounds``, where texts begin."""
+    edge = np.zeros(len(word) + 1, dtype=bool)
+    edge[bounds] = True
+    before = np.concatenate([[False], word[:-1]]) & ~edge[:-1]
+    after = np.concatenate([word[1:], [False]]) & ~edge[1:]
+    return np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+
+
+def extended(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a sequence from that of all but its last word and that word's."""
+    with np.errstate(over="ignore"):
+        out = head * np.uint64(0x9E3779B97F4A7C15) + word
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit that the first bits of each hash name is set."""
+    place = hashes >> np.uint64(64 - (int(len(bitmap) * 64).bit_length() - 1))
+    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def set_bits(bitmap: np.ndarray, hashes: DataFrame) -> np.ndarray:
+    """The bitmap with the bits of a column ``hash``; one row for each 64 bits reaches the driver."""
+    bits = int(len(bitmap) * 64).bit_length() - 1
+    words = hashes.groupBy(F.shiftrightunsigned("hash", 64 - bits + 6).alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63L AS INT)))").alias("bits")).toArrow()
+    out = bitmap.copy()
+    out[words["word"].to_numpy()] |= words["bits"].to_numpy().view(np.uint64)
+    return out
