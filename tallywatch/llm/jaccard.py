@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tallywatch.functions.joins import join_frequent_apart
 from tallywatch.llm.components import connected_components
-from tallywatch.llm.words import byte_rows, extended, hash64, in_bitmap, pieces, set_bits, word_spans
+from tallywatch.llm.words import byte_rows, extended, in_bitmap, pieces, set_bits, span_hashes, word_spans
 from tallywatch.sources.scratch import materialise
 
 WIDTH = 5
@@ -46,7 +46,7 @@ BUCKETS = 1 << 18
 BITS = 25
 #: No larger set is listed by its subsets: at 0.8 one of this size has 10^9 of them.
 SMALL = 48
-ROUNDS = 2
+ROUNDS = 1
 PIECE = 8_000_000
 
 _WORD = np.ones(256, dtype=bool)
@@ -68,7 +68,7 @@ class _Sets:
         word = _WORD[raw]
         starts, ends = word_spans(word, begin)
         doc = np.searchsorted(begin, starts, side="right") - 1
-        hashes = hash64(_LOWER[raw][word], np.concatenate([[0], np.cumsum(ends - starts)]))
+        hashes = span_hashes(_LOWER[raw], starts, ends)
         words = np.bincount(doc, minlength=len(texts))
         first = np.cumsum(words) - words
         left = np.repeat(first + words, words) - np.arange(len(doc))
@@ -82,8 +82,9 @@ class _Sets:
             else:
                 grams[more] = extended(grams[more], hashes[at[more] + k])
         owner = doc[at]
-        order = np.lexsort((grams, owner))
-        grams, owner = grams[order], owner[order]
+        ends = np.cumsum(np.bincount(owner, minlength=len(texts))).tolist()
+        for lo, hi in zip([0, *ends], ends):
+            grams[lo:hi].sort()
         fresh = np.ones(len(grams), dtype=bool)
         fresh[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
         self.items, self.owner = grams[fresh], owner[fresh]
@@ -150,10 +151,14 @@ def _scan(docs: DataFrame, id_type: T.DataType, width: int, small: int, cells: i
     return docs.mapInArrow(scan, schema)
 
 
-def _by_rarity(sets: _Sets, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(items, places): every set's items, rare ones first, and the place of each in its set."""
-    order = np.lexsort((sets.items, uses[_cell(sets.items, len(uses))], sets.owner))
-    return sets.items[order], np.arange(len(order)) - np.repeat(sets.bounds[:-1], sets.sizes)
+def _rare_first(sets: _Sets, rows: np.ndarray, uses: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Where the ``n`` rarest items of each of some sets are, rare ones first, ties by the item itself."""
+    rarity = uses[_cell(sets.items, len(uses))]
+    out = [np.zeros(0, dtype=np.int64)]
+    for lo, hi, k in zip(sets.bounds[rows].tolist(), sets.bounds[rows + 1].tolist(), n.tolist()):
+        # Items are sorted already, so a stable sort leaves ties in their order.
+        out.append(lo + np.argsort(rarity[lo:hi], kind="stable")[:k])
+    return np.concatenate(out)
 
 
 def subset_sizes(n: int, largest: int, share: int = SHARE) -> list[int]:
@@ -244,17 +249,15 @@ def _entries(texts: DataFrame, uses: np.ndarray, largest: int, width: int, share
         seen: set[int] = set()
         for _, sets in _each(batches, 0, width):
             rows = _new(sets, np.flatnonzero(sets.sizes >= least), seen)
-            chosen = np.zeros(len(sets.sizes), dtype=bool)
-            chosen[rows] = True
-            items, place = _by_rarity(sets, shared.value)
-            n = sets.sizes
+            n = sets.sizes[rows]
             # A large set may be the larger one of a pair, a small one is always the smaller.
             asked = np.where(n > largest, -(-share * n // 100), -(-2 * share * n // (100 + share)))
-            keep = chosen[sets.owner] & (place <= (n - asked)[sets.owner])
-            owner = sets.owner[keep]
+            first = n - asked + 1
+            at = _rare_first(sets, rows, shared.value, first)
+            place = np.arange(len(at)) - np.repeat(np.cumsum(first) - first, first)
             yield pa.RecordBatch.from_arrays([
-                pa.array(items[keep].view(np.int64)), pa.array(sets.key[owner].view(np.int64)),
-                pa.array(n[owner], pa.int32()), pa.array(place[keep], pa.int32())], ["item", "key", "n", "place"])
+                pa.array(sets.items[at].view(np.int64)), pa.array(np.repeat(sets.key[rows], first).view(np.int64)),
+                pa.array(np.repeat(n, first), pa.int32()), pa.array(place, pa.int32())], ["item", "key", "n", "place"])
 
     return texts.mapInArrow(listed, "item long, key long, n int, place int")
 
@@ -309,8 +312,13 @@ def _whole_sets(texts: DataFrame, keys: DataFrame, width: int, bits: int) -> Dat
     return found.dropDuplicates(["key"])
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def _checked(pairs: DataFrame, texts: DataFrame, width: int, share: int, bits: int) -> DataFrame:
     """Those pairs (a, b) whose whole sets link."""
+    pairs = materialise(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    sets = materialise(_whole_sets(texts, keys, width, bits), "whole-sets")
     both = pairs.join(sets.select(F.col("key").alias("b"), F.col("items").alias("of_b")), "b").join(
         sets.select(F.col("key").alias("a"), F.col("items").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
@@ -318,7 +326,7 @@ def _checked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return both.withColumn("common", common).where(F.col("common") * 100 >= share * together).select("a", "b")
 
 
-def _list_links(live: DataFrame, sets: DataFrame, links: DataFrame, largest: int, share: int, rounds: int) -> DataFrame:
+def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: int, width: int, share: int, rounds: int, bits: int) -> DataFrame:
     """``links`` and further ones that connect all sets which the lists let link."""
     central = live.groupBy("key").agg(F.min(F.floor(F.col("place") * 16 / F.col("n"))).alias("own"))
     live = materialise(live.join(central, "key"), "central-entries")
@@ -339,7 +347,7 @@ def _list_links(live: DataFrame, sets: DataFrame, links: DataFrame, largest: int
         leaders = entries.groupBy("item").agg(F.min("one").alias("lead"))
         pairs = entries.join(leaders, "item").where((F.col("one.label") != F.col("lead.label")) & may_link("one", "lead"))
         pairs = pairs.select(F.col("lead.key").alias("a"), F.col("one.key").alias("b")).distinct()
-        links = materialise(links.unionByName(_checked(pairs, sets, share)), "links")
+        links = materialise(links.unionByName(_checked(pairs, texts, width, share, bits)), "links")
     entries = materialise(labelled().select("item", F.struct("key", "n", "place", "label").alias("one")), "labelled-entries")
     # Lists whose sets are all connected have nothing left to look for.
     apart = entries.groupBy("item").agg(F.min("one.label").alias("low"), F.max("one.label").alias("high")).where("low < high").select("item")
@@ -347,7 +355,7 @@ def _list_links(live: DataFrame, sets: DataFrame, links: DataFrame, largest: int
     other = open_.select("item", F.col("one").alias("other"))
     pairs = open_.join(other, "item").where((F.col("one.label") < F.col("other.label")) & may_link("one", "other"))
     pairs = pairs.select(F.col("one.key").alias("a"), F.col("other.key").alias("b")).distinct()
-    return materialise(links.unionByName(_checked(pairs, sets, share)), "links")
+    return materialise(links.unionByName(_checked(pairs, texts, width, share, bits)), "links")
 
 
 def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: int = SHARE,
@@ -380,8 +388,7 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = materialise(_subset_links(small, largest, share), "subset-links")
     texts = rows.select("text")
     live = materialise(_met(_entries(texts, uses, largest, width, share)), "met-entries")
-    sets = materialise(_whole_sets(texts, live.select("key").distinct(), width, bits), "whole-sets")
-    links = _list_links(live, sets, links, largest, share, rounds)
+    links = _list_links(live, texts, links, largest, width, share, rounds, bits)
 
     roots = connected_components(links)
     merged = prints.where("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("copies"))

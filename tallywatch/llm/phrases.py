@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.joins import lookup
-from tallywatch.llm.words import byte_rows, extended, hash64, in_bitmap, pieces, set_bits, word_spans
+from tallywatch.llm.words import byte_rows, extended, hash64, in_bitmap, pieces, set_bits, span_hashes, word_spans
 from tallywatch.sources.scratch import materialise, new_folder
 
 LEAST = 30
@@ -63,7 +63,7 @@ class _Tokens:
         self.lang_of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.langs = coded.dictionary
         tags = hash64(*byte_rows(self.langs))
-        hashes = hash64(self.bytes[word], np.concatenate([[0], np.cumsum(self.ends - self.starts)]))
+        hashes = span_hashes(self.bytes, self.starts, self.ends)
         self.hash = extended(tags[self.lang_of[self.doc]], hashes) if len(hashes) else hashes
 
     def phrase(self, i: int, length: int) -> bytes:

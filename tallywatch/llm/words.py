@@ -104,6 +104,27 @@ def word_spans(word: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, eight bytes at a time; ``hash64`` for the few spans beyond 64 bytes."""
+    out = (ends - starts).astype(np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded.data, strides=(1,))
+    rows = np.flatnonzero(ends - starts <= 64)
+    for k in range(0, 64, 8):
+        left = ends[rows] - starts[rows] - k
+        rows, left = rows[left > 0], left[left > 0]
+        if not len(rows):
+            break
+        value = eights[starts[rows] + k]
+        short = left < 8
+        value[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[rows] = extended(out[rows], value)
+    long_ = np.flatnonzero(ends - starts > 64)
+    if len(long_):
+        out[long_] = hash64(np.concatenate([data[starts[i]:ends[i]] for i in long_]), np.concatenate([[0], np.cumsum((ends - starts)[long_])]))
+    return out
+
+
 def extended(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The hash of a sequence from that of all but its last word and that word's."""
     with np.errstate(over="ignore"):

@@ -131,3 +131,13 @@ def test_overlaps():
                 assert (min(linked) == need) if linked else need > s
                 if linked:
                     assert s >= jaccard.least_partner(t, share) and need in jaccard.subset_sizes(s, t, share)
+
+
+def test_span_hashes_tell_words_apart():
+    from tallywatch.llm.words import span_hashes
+    rng = random.Random(4)
+    words = list({bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(1, 90))) for _ in range(3000)})
+    data = np.frombuffer(b" ".join(words) + b" " + b" ".join(words), dtype=np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words * 2]) - 1
+    hashes = span_hashes(data, ends - np.array([len(w) for w in words * 2]), ends)
+    assert len(np.unique(hashes)) == len(words) and (hashes[:len(words)] == hashes[len(words):]).all()
