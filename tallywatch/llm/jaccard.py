@@ -19,12 +19,13 @@ turned into all its pairs. First every set in it is checked against one leader,
 the fewest shingles of its own; sets that link are put together. Only what is still apart
 afterwards is paired, so links between sets already connected are neither looked for nor lost.
 
-How rare a shingle is comes from counts in ``BUCKETS`` cells over all rows. It decides the
+How rare a shingle is comes from counts in ``CELLS`` cells over all rows. It decides the
 order of shingles, so the work, never the result.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -42,12 +43,13 @@ from tallywatch.sources.scratch import materialise
 
 WIDTH = 5
 SHARE = 80
-BUCKETS = 1 << 18
+CELLS = 1 << 22
+BLOCK = 1 << 16
 BITS = 25
 #: No larger set is listed by its subsets: at 0.8 one of this size has 10^9 of them.
 SMALL = 48
 ROUNDS = 1
-PIECE = 8_000_000
+PIECE = 4_000_000
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -124,14 +126,18 @@ def _cell(items: np.ndarray, cells: int) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, id_type: T.DataType, width: int, small: int, cells: int) -> DataFrame:
-    """One row (id, key, n, items of small sets) for each row of ``docs`` (id, text), and rows (cell, uses) of shingle counts."""
+    """One row (id, key, n, items of small sets) for each row of ``docs`` (id, text), and rows (block, uses).
+
+    The latter hold a task's counts of the shingles in each cell, ``BLOCK`` cells to a row.
+    """
+    size = min(BLOCK, cells)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uses = np.zeros(cells, dtype=np.int64)
-        names = ["id", "key", "n", "items", "cell", "uses"]
+        uses = np.zeros(cells, dtype=np.uint32)
+        names = ["id", "key", "n", "items", "block", "uses"]
         kind = None
         for batch, sets in _each(batches, 1, width):
-            uses += np.bincount(_cell(sets.items, cells), minlength=cells)
+            uses += np.bincount(_cell(sets.items, cells), minlength=cells).astype(np.uint32)
             kind = batch.schema.field(0).type
             rows = np.flatnonzero((sets.sizes > 0) & (sets.sizes <= small))
             listed = np.zeros(len(sets.sizes), dtype=np.int64)
@@ -139,18 +145,39 @@ def _scan(docs: DataFrame, id_type: T.DataType, width: int, small: int, cells: i
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(sets.key.view(np.int64)), pa.array(sets.sizes, pa.int32()),
                 sets.lists(rows).take(pa.array(listed, mask=(sets.sizes == 0) | (sets.sizes > small))),
-                pa.nulls(len(sets.sizes), pa.int32()), pa.nulls(len(sets.sizes), pa.int64())], names)
-        full = np.flatnonzero(uses)
-        if len(full):
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(full), kind), pa.nulls(len(full), pa.int64()), pa.nulls(len(full), pa.int32()),
-                pa.nulls(len(full), pa.list_(pa.int64())), pa.array(full, pa.int32()), pa.array(uses[full])], names)
-
-    types = [id_type, T.LongType(), T.IntegerType(), T.ArrayType(T.LongType()), T.IntegerType(), T.LongType()]
-    schema = T.StructType([T.StructField(name, kind) for name, kind in zip(("id", "key", "n", "items", "cell", "uses"), types)])
+                pa.nulls(len(sets.sizes), pa.int32()), pa.nulls(len(sets.sizes), pa.binary())], names)
+        for block in range(0, cells if kind is not None else 0, size):
+            part = uses[block:block + size]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.int64())),
+                    pa.array([block // size], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], names)
+
+    types = [id_type, T.LongType(), T.IntegerType(), T.ArrayType(T.LongType()), T.IntegerType(), T.BinaryType()]
+    schema = T.StructType([T.StructField(name, kind) for name, kind in zip(("id", "key", "n", "items", "block", "uses"), types)])
     return docs.mapInArrow(scan, schema)
 
 
+def _cell_uses(blocks: DataFrame, cells: int) -> np.ndarray:
+    """The counts of all tasks put together; one row for each block reaches the driver."""
+    size = min(BLOCK, cells)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(zlib.decompress(part), dtype=np.uint32).astype(np.int64)
+                sums[block] = sums[block] + counts if block in sums else counts
+        for block, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts.tobytes()])], ["block", "uses"])
+
+    uses = np.zeros(cells, dtype=np.int64)
+    for row in blocks.repartition("block").mapInArrow(total, "block int, uses binary").collect():
+        uses[row["block"] * size:(row["block"] + 1) * size] = np.frombuffer(row["uses"], dtype=np.int64)
+    # Beyond 65,535 uses the order no longer matters much; two bytes a cell go to the tasks.
+    return np.minimum(uses, 65_535).astype(np.uint16)
+
+
 def _rare_first(sets: _Sets, rows: np.ndarray, uses: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Where the ``n`` rarest items of each of some sets are, rare ones first, ties by the item itself."""
     rarity = uses[_cell(sets.items, len(uses))]
@@ -187,7 +214,7 @@ def _chosen_boundary(small: DataFrame, uses: np.ndarray, share: int) -> int:
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses = shared.value
         # A cell's count less that of an average one is what one shingle in it may have of its own.
-        own = np.maximum(0, uses - int(uses.mean())) + 1
+        own = np.maximum(0, uses.astype(np.int64) - int(uses.mean())) + 1
         for batch in batches:
             n = batch.column(0).to_numpy()
             items = batch.column(1).flatten().to_numpy().view(np.uint64)
@@ -328,7 +355,10 @@ def _checked(pairs: DataFrame, texts: DataFrame, width: int, share: int, bits: i
 
 def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: int, width: int, share: int, rounds: int, bits: int) -> DataFrame:
     """``links`` and further ones that connect all sets which the lists let link."""
-    central = live.groupBy("key").agg(F.min(F.floor(F.col("place") * 16 / F.col("n"))).alias("own"))
+    # The fewer of a set's first shingles are its own alone, the nearer it is to the middle of its group.
+    first = F.col("n") - F.ceil(F.col("n") * F.when(F.col("n") > largest, share / 100).otherwise(2 * share / (100 + share)))
+    central = live.groupBy("key").agg(F.max(first).alias("first"), F.count("*").alias("met")).select(
+        "key", (F.col("first") - F.col("met")).alias("own"))
     live = materialise(live.join(central, "key"), "central-entries")
 
     def labelled() -> DataFrame:
@@ -359,7 +389,7 @@ def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: in
 
 
 def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: int = SHARE,
-                    largest: int | None = None, rounds: int = ROUNDS, cells: int = BUCKETS, bits: int = BITS) -> DataFrame:
+                    largest: int | None = None, rounds: int = ROUNDS, cells: int = CELLS, bits: int = BITS) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``.
 
     A text's set holds its distinct sequences of ``width`` words (A-Z in lower case); a text of
@@ -375,10 +405,8 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = rows.schema["id"].dataType
     scanned = materialise(_scan(rows, id_type, width, SMALL, cells), "shingle-sets")
-    counted = scanned.where(F.col("cell").isNotNull()).groupBy("cell").agg(F.sum("uses").alias("uses")).toArrow()
-    uses = np.zeros(cells, dtype=np.int64)
-    uses[counted["cell"].to_numpy()] = counted["uses"].to_numpy()
-    prints = scanned.where(F.col("cell").isNull()).select("id", "key", F.col("n").cast("long").alias("n"))
+    uses = _cell_uses(scanned.where(F.col("block").isNotNull()).select("block", "uses"), cells)
+    prints = scanned.where(F.col("block").isNull()).select("id", "key", F.col("n").cast("long").alias("n"))
     small = scanned.where(F.col("items").isNotNull()).select("key", "n", "items")
     if largest is None:
         largest = _chosen_boundary(small, uses, share)

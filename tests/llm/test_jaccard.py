@@ -76,7 +76,7 @@ def rows_of(out):
 
 
 @pytest.mark.parametrize("seed,options", [
-    (1, {}), (2, {"largest": 0}), (3, {"largest": 9}), (4, {"largest": 12, "rounds": 0}), (5, {"cells": 2, "bits": 8}), (6, {"rounds": 1, "largest": 5}),
+    (1, {}), (2, {"largest": 0}), (3, {"largest": 9}), (4, {"largest": 12, "rounds": 0}), (5, {"cells": 2, "bits": 8, "rounds": 1}), (6, {"rounds": 2, "largest": 5}),
 ])
 def test_classes_are_those_of_all_pairs(spark, seed, options):
     rows = made_up(seed)
