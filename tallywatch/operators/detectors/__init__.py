@@ -2,7 +2,8 @@
 
 A detector is ``fit(matrix) -> scorer`` and a scorer is ``scorer(frame, name)``,
 which adds the column ``name`` to any frame with the matrix's rows. Higher scores
-mean more unusual.
+mean more unusual. Fits run in threads of their own (``operators.ensemble``). A fit or a
+scorer that finds its data unfit raises ``DetectorDataError``.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tallywatch.operators.detectors import cblof, copod, hbos, iforest, knn, ocsvm
-from tallywatch.operators.detectors.matrix import Matrix, build_matrix
+from tallywatch.operators.detectors.matrix import DetectorDataError, Matrix, build_matrix
 
 Scorer = Callable[[DataFrame, str], DataFrame]
 Fit = Callable[[Matrix], Scorer]
 
+# The names under which users ask for a detector.
 DEFAULT_MODELS = ("iforest", "hbos", "copod", "knn", "svm", "ocsvm", "cblof")
 ALIASES = {"oneclasssvm": "ocsvm"}
 
@@ -46,4 +48,4 @@ def resolve(name: str) -> tuple[str, Fit]:
     return canonical, _REGISTRY[canonical]
 
 
-__all__ = ["DEFAULT_MODELS", "Fit", "Matrix", "Scorer", "build_matrix", "register", "resolve"]
+__all__ = ["DEFAULT_MODELS", "DetectorDataError", "Fit", "Matrix", "Scorer", "build_matrix", "register", "resolve"]

@@ -14,6 +14,13 @@ from tallywatch.sources.scratch import materialise
 DECIMALS = 9
 
 
+class DetectorDataError(ValueError):
+    """The data cannot be fitted or scored by this detector; the others of an ensemble go on without it.
+
+    Anything else that a detector raises, a failed Spark job above all, ends the run.
+    """
+
+
 @dataclass(frozen=True)
 class Matrix:
     """``df`` has the segment keys, ``job_count`` and the array ``x`` without nulls."""

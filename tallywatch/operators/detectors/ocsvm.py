@@ -6,13 +6,15 @@ shortest vector among the weighted means of rows in which no row has more than
 1 / (nu n). Each step is one pass over all rows: it finds the nu n rows that score lowest,
 from counts and sums in narrow ranges of the score, and their mean. The next weight is the
 shortest combination of the means found so far. Steps end when the duality gap is at most
-``TOLERANCE`` of the squared length; if they do not, the fit fails. The offset is the nu
+``TOLERANCE`` of the squared length, or after ``STEPS`` of them with a warning that names the gap. The offset is the nu
 quantile of the scores. Features are standardised first, because the kernel width is set
 for unit scale.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -125,7 +127,8 @@ def _train(m: Matrix, lift, nu: float, components: int, steps: int, tolerance: f
         weight, share = _shortest(np.concatenate([means, lowest[None]]))
         means = np.concatenate([means, lowest[None]])[share > 1e-12]
     else:
-        raise RuntimeError(f"the one-class model did not converge in {steps} steps")
+        gap = float(1 - (weight @ lowest) / (weight @ weight))
+        warnings.warn(f"one-class model used with a duality gap of {gap:.3g} after {steps} steps", stacklevel=3)
     # The nu quantile of the scores, its range divided once more.
     lo, hi = -reach, reach
     for finer in (False, True):

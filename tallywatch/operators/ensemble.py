@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import queue
+import uuid
 import warnings
 from collections.abc import Iterable
 
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.ranks import exact_quantiles
-from tallywatch.operators.detectors import DEFAULT_MODELS, Matrix, resolve
+from tallywatch.operators.detectors import DEFAULT_MODELS, DetectorDataError, Fit, Matrix, Scorer, resolve
 
 
 SCORE_DECIMALS = 9
@@ -20,35 +23,79 @@ def comparable(score: Column) -> Column:
     return F.round(score, SCORE_DECIMALS)
 
 
+def fit_together(m: Matrix, fits: dict[str, Fit]) -> dict[str, Scorer | DetectorDataError]:
+    """Fit detectors at the same time, each in a thread, fair-scheduler pool and job tag of its own.
+
+    A ``DetectorDataError`` is returned in the place of the scorer. The first other error
+    cancels the jobs of all detectors still running and is raised.
+    """
+    context = m.df.sparkSession.sparkContext
+    run = uuid.uuid4().hex
+    tags = {name: f"fit-{name}-{run}" for name in fits}
+    outcome: dict[str, Scorer | BaseException] = {}
+    settled: queue.SimpleQueue[str] = queue.SimpleQueue()
+
+    def work(name: str) -> None:
+        try:
+            context.setLocalProperty("spark.scheduler.pool", name)
+            context.addJobTag(tags[name])
+            outcome[name] = fits[name](m)
+        except BaseException as error:  # handed to the caller below
+            outcome[name] = error
+        finally:
+            settled.put(name)
+
+    threads = [InheritableThread(target=work, args=(name,), daemon=True) for name in fits]
+    for thread in threads:
+        thread.start()
+    failure = None
+    for _ in fits:
+        name = settled.get()
+        error = outcome[name]
+        if failure is None and isinstance(error, BaseException) and not isinstance(error, DetectorDataError):
+            failure = error
+            for tag in tags.values():
+                context.cancelJobsWithTag(tag)
+    for thread in threads:
+        thread.join()
+    if failure is not None:
+        raise failure
+    return outcome
+
+
 def raw_scores(m: Matrix, models: Iterable[str] = DEFAULT_MODELS) -> tuple[DataFrame, list[str]]:
     """The matrix with one ``score_<name>`` column per detector, and their names.
 
-    Two names of the same detector are fitted once. A detector that cannot be fitted is
-    left out with a warning; one that cannot score counts as 0 in every row.
+    Detectors are fitted at the same time over the one stored matrix; two names of the same
+    detector are fitted once. A detector that raises ``DetectorDataError`` while fitting is
+    left out with a warning, one that raises it while scoring counts as 0 in every row. Any
+    other error, such as a failed job, ends the run, so that no run votes with fewer
+    detectors than were asked for unless the data is the reason.
     """
-    scored, columns, done = m.df, [], {}
+    chosen: dict[str, Fit] = {}
     for model in models:
         name, fit = resolve(model)
-        column = f"score_{name}"
-        if column in columns:
+        chosen.setdefault(name, fit)
+    first = {fit: name for name, fit in reversed(chosen.items())}
+    scorers = fit_together(m, {name: fit for fit, name in first.items()})
+    scored, columns = m.df, []
+    for name, fit in chosen.items():
+        column, source = f"score_{name}", first[fit]
+        scorer = scorers[source]
+        if isinstance(scorer, DetectorDataError):
+            warnings.warn(f"detector {name} left out: {scorer}", stacklevel=2)
             continue
-        if fit in done:
-            scored = scored.withColumn(column, F.col(done[fit]))
+        if source != name:
+            scored = scored.withColumn(column, F.col(f"score_{source}"))
         else:
-            try:
-                scorer = fit(m)
-            except Exception as error:  # whatever a detector raises, the others go on
-                warnings.warn(f"detector {name} left out: {error}", stacklevel=2)
-                continue
             try:
                 scored = scorer(scored, column)
-            except Exception as error:
+            except DetectorDataError as error:
                 warnings.warn(f"detector {name} scores 0: {error}", stacklevel=2)
                 scored = scored.withColumn(column, F.lit(0.0))
-            done[fit] = column
         columns.append(column)
     if not columns:
-        raise RuntimeError("no detector could be fitted")
+        raise DetectorDataError("no detector could be fitted")
     return scored, columns
 
 

@@ -1,8 +1,11 @@
+import dataclasses
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallywatch.operators import detectors
+from tallywatch.operators import detectors, ensemble
 from tallywatch.operators.detectors import build_matrix, cblof, hbos, iforest, ocsvm, resolve
 from tallywatch.operators.features import FEATURES, build_features
 from tallywatch.plans.detect import detect
@@ -110,23 +113,117 @@ def test_ocsvm_splits_about_nu(matrix):
         assert abs(outside - nu) < 0.02
 
 
-def test_ocsvm_fails_rather_than_stop_early(matrix):
-    with pytest.raises(RuntimeError):
-        ocsvm.fit(matrix, nu=0.02, steps=1, tolerance=1e-9)
+def test_ocsvm_names_its_gap_when_steps_run_out(matrix):
+    with pytest.warns(UserWarning, match="duality gap"):
+        scorer = ocsvm.fit(matrix, nu=0.02, steps=1, tolerance=1e-9)
+    assert scorer(matrix.df, "s").where("s IS NULL").isEmpty()
+
+
+def points_of(matrix):
+    return np.array([r["x"] for r in matrix.df.select("x").collect()])
+
+
+def cost(x, centres):
+    return ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def full_lloyd(x, k, starts=10):
+    best = np.inf
+    for seed in range(starts):
+        centres = cblof._seeded(x, np.ones(len(x)), k, np.random.default_rng(seed))
+        for _ in range(300):
+            near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+            after = np.array([x[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(len(centres))])
+            if np.abs(after - centres).max() < 1e-9:
+                break
+            centres = after
+        best = min(best, cost(x, centres))
+    return best
+
+
+def test_coreset_clusters_cost_about_as_little_as_full_steps(matrix):
+    x = points_of(matrix)
+    # Leaves of 50 rows, four at a time: three levels of the tree.
+    points, weights = cblof.coreset(matrix, leaf=50, points=40, fan=4)
+    assert len(points) <= 160 and weights.sum() == pytest.approx(matrix.n_rows)
+    centres, sizes = cblof.lloyd(matrix, cblof.settled(points, weights, 4))
+    assert cost(x, centres) <= 1.02 * full_lloyd(x, 4) and sum(sizes) == matrix.n_rows
+
+
+def test_clusters_do_not_depend_on_partitions(matrix):
+    again = dataclasses.replace(matrix, df=matrix.df.repartition(7, "date"))
+    for a, b in zip(cblof.coreset(matrix, leaf=100, points=30, fan=3), cblof.coreset(again, leaf=100, points=30, fan=3)):
+        assert (a == b).all()
+
+
+def test_equal_points_make_one_cluster():
+    x = np.zeros((50, 3))
+    points, weights = cblof.reduced(x, np.ones(50), 10, [1])
+    assert len(points) == 1 and weights.tolist() == [50.0]
+    assert len(cblof.settled(points, weights, 8)) == 1
+
+
+def test_trees_do_not_depend_on_partitions(matrix):
+    again = dataclasses.replace(matrix, df=matrix.df.repartition(5, "date"))
+    a, b = (sorted(iforest.grow(iforest.subsamples(m, trees=5), m.width, 8)[3][4].tolist()) for m in (matrix, again))
+    assert a == b and len(a) > 5
 
 
-def test_clusters_are_those_of_lloyd(matrix):
-    start = cblof._start(matrix, 4)
-    centres, sizes = cblof.lloyd(matrix, start)
-    x = np.array([r["x"] for r in matrix.df.select("x").collect()])
-    want = start
-    for _ in range(300):
-        near = ((x[:, None] - want[None]) ** 2).sum(axis=2).argmin(axis=1)
-        after = np.array([x[near == k].mean(axis=0) if (near == k).any() else want[k] for k in range(4)])
-        if np.abs(after - want).max() < 1e-9:
-            break
-        want = after
-    assert np.allclose(centres, want, atol=1e-4) and sizes == np.bincount(near, minlength=4).tolist()
+def slow_fit(seconds):
+    def fit(m):
+        def nap(batches):
+            time.sleep(seconds)
+            yield from batches
+
+        m.df.select("job_count").coalesce(1).mapInArrow(nap, "job_count long").count()
+        return lambda df, name: df.withColumn(name, F.lit(1.0))
+
+    return fit
+
+
+def test_fits_run_at_the_same_time(matrix):
+    start = time.perf_counter()
+    outcome = ensemble.fit_together(matrix, {f"nap{i}": slow_fit(4) for i in range(3)})
+    assert time.perf_counter() - start < 11 and len(outcome) == 3
+
+
+def test_data_errors_leave_a_detector_out_and_others_end_the_run(matrix):
+    def unfit(m):
+        raise detectors.DetectorDataError("too few rows")
+
+    def unscored(m):
+        def score(df, name):
+            raise detectors.DetectorDataError("no such column")
+        return score
+
+    def broken(m):
+        m.df.select(F.raise_error(F.lit("executor lost"))).collect()
+
+    for name, fit in (("unfit", unfit), ("unscored", unscored), ("broken", broken), ("long", slow_fit(120))):
+        detectors.register(name, fit)
+    with pytest.warns(UserWarning, match="too few rows|no such column"):
+        scored, columns = ensemble.raw_scores(matrix, ["unfit", "unscored", "hbos"])
+    assert columns == ["score_unscored", "score_hbos"]
+    assert scored.where("score_unscored <> 0").isEmpty()
+    start = time.perf_counter()
+    with pytest.raises(Exception, match="executor lost"):
+        ensemble.raw_scores(matrix, ["long", "broken", "hbos"])
+    # The other detectors' jobs were cancelled.
+    assert time.perf_counter() - start < 60
+
+
+def test_two_names_of_one_detector_are_fitted_once(matrix):
+    calls = []
+
+    def fit(m):
+        calls.append(1)
+        return lambda df, name: df.withColumn(name, F.lit(2.0))
+
+    detectors.register("one", fit)
+    detectors.register("two", fit)
+    scored, columns = ensemble.raw_scores(matrix, ["one", "two", "ONE"])
+    assert columns == ["score_one", "score_two"] and len(calls) == 1
+    assert scored.where("score_two <> 2").isEmpty()
 
 
 def test_unknown_detector(history):

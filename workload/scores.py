@@ -65,6 +65,54 @@ pairs AS (
 knn AS (SELECT grp, src, date, list_sort(list(d))[5] AS score_knn FROM pairs GROUP BY grp, src, date)"""
 
 
+def _drawn(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT)"
+
+
+def _path(n: str) -> str:
+    return f"CASE WHEN {n} <= 1 THEN 0.0 WHEN {n} = 2 THEN 1.0 ELSE 2 * (ln({n} - 1) + 0.5772156649015329) - 2.0 * ({n} - 1) / {n} END"
+
+
+def _forest(limit: int = 8, trees: int = 100, subsample: int = 256) -> str:
+    """The trees level by level, and every row's way through them."""
+    key = "CAST(grp AS VARCHAR), CAST(src AS VARCHAR), CAST(date AS VARCHAR)"
+    ctes = [f"""
+deepest AS (SELECT least(n, {subsample}) AS size, CAST(ceil(log2(greatest(least(n, {subsample}), 2))) AS INTEGER) AS depth FROM total),
+m0 AS (
+  SELECT tree, grp, src, date, CAST(1 AS BIGINT) AS node FROM feat, range({trees}) AS t(tree)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {_drawn("'42'", 'CAST(tree AS VARCHAR)', key)}, {key}) <= {subsample}),
+w0 AS (SELECT tree, grp, src, date, CAST(1 AS BIGINT) AS node, CAST(NULL AS DOUBLE) AS length FROM feat, range({trees}) AS t(tree))"""]
+    for k in range(limit + 1):
+        ctes.append(f"""
+n{k} AS (SELECT tree, node, count(*) AS n FROM m{k} GROUP BY tree, node),
+f{k} AS (
+  SELECT tree, node, f, min(v) AS lo, max(v) AS hi FROM m{k} JOIN x USING (grp, src, date) GROUP BY tree, node, f HAVING max(v) > min(v)),
+s{k} AS (
+  SELECT tree, node, f, lo + {_drawn("'42'", 'CAST(tree AS VARCHAR)', 'CAST(node AS VARCHAR)', "'cut'")} / 4294967296.0::DOUBLE * (hi - lo) AS cut
+  FROM f{k}, deepest WHERE {k} < deepest.depth
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY f) = 1 +
+    ({_drawn("'42'", 'CAST(tree AS VARCHAR)', 'CAST(node AS VARCHAR)', "'feature'")} * count(*) OVER (PARTITION BY tree, node)) // 4294967296),
+m{k + 1} AS (
+  SELECT m.tree, m.grp, m.src, m.date, 2 * m.node + CASE WHEN x.v >= s.cut THEN 1 ELSE 0 END AS node
+  FROM m{k} m JOIN s{k} s ON s.tree = m.tree AND s.node = m.node
+  JOIN x ON x.grp = m.grp AND x.src = m.src AND x.date = m.date AND x.f = s.f),
+w{k + 1} AS (
+  SELECT w.tree, w.grp, w.src, w.date,
+         CASE WHEN s.f IS NULL THEN w.node ELSE 2 * w.node + CASE WHEN x.v >= s.cut THEN 1 ELSE 0 END END AS node,
+         CASE WHEN w.length IS NULL AND s.f IS NULL THEN {k} + {_path('coalesce(n.n, 0)')} ELSE w.length END AS length
+  FROM w{k} w LEFT JOIN s{k} s ON s.tree = w.tree AND s.node = w.node AND w.length IS NULL
+  LEFT JOIN n{k} n ON n.tree = w.tree AND n.node = w.node
+  LEFT JOIN x ON x.grp = w.grp AND x.src = w.src AND x.date = w.date AND x.f = s.f)""")
+    ctes.append(f"""
+iforest AS (
+  SELECT grp, src, date, pow(2.0, -sum(length) / {trees} / max(CASE WHEN size <= 1 THEN 1.0 ELSE {_path('size')} END)) AS score_iforest
+  FROM w{limit + 1}, deepest GROUP BY grp, src, date)""")
+    return ",".join(ctes)
+
+
+IFOREST = _forest()
+
+
 def _matrix(spark, sf):
     return build_matrix(features.build_features(spread(events_daily(spark, sf), G, "src"), G), G)
 
@@ -81,9 +129,9 @@ def _score_query(name: str):
 
 
 for _name, _sql in {
-    "hbos": HBOS, "copod": COPOD, "knn": KNN,
-    # No SQL for these: random subsamples, clusters and random features.
-    "iforest": None, "cblof": None, "ocsvm": None, "svm": None,
+    "hbos": HBOS, "copod": COPOD, "knn": KNN, "iforest": IFOREST,
+    # No SQL for these: clusters and random features.
+    "cblof": None, "ocsvm": None, "svm": None,
 }.items():
     query(f"score_{_name}", None if _sql is None else f"""WITH {MATRIX}, {_sql}
 SELECT grp, src, CAST(date AS VARCHAR) AS date, round(score_{_name}, 6) + 0.0 AS score_{_name} FROM {_name}""")(
