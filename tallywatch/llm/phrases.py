@@ -19,10 +19,12 @@ running counts, which Spark keeps merged by hash, holds only what is undecided.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,15 +99,23 @@ def _levels(tokens: _Tokens, reached: np.ndarray, longest: int) -> Iterator[tupl
         yield length, at, hashes, prefix, suffix
 
 
-def _shard_counts(shard: DataFrame, maps: list[np.ndarray], step: int, shards: int, longest: int) -> DataFrame:
+def _packed(bitmap: np.ndarray) -> bytes:
+    """Few bits are set, so a bitmap travels compressed."""
+    return zlib.compress(bitmap.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype=np.uint64)
+
+
+def _shard_counts(shard: DataFrame, shared: Broadcast[list[bytes]], step: int, shards: int, longest: int) -> DataFrame:
     """(hash, n, until): undecided phrases of a shard, with the step that ends their round.
 
-    ``maps`` are the bitmaps at the beginning of this step and of up to ``shards`` steps before, oldest first.
+    ``shared`` holds the bitmaps at the beginning of this step and of up to ``shards`` steps before, oldest first.
     """
-    shared = shard.sparkSession.sparkContext.broadcast(maps)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = shared.value
+        maps = [_unpacked(packed) for packed in shared.value]
         for tokens in _each(batches):
             for length, _, hashes, prefix, suffix in _levels(tokens, maps[-1], longest):
                 begun = np.full(len(hashes), 0 if length == 1 else step)
@@ -129,10 +139,13 @@ def _scan_in_circles(read: Callable[[int], DataFrame], shards: int, least: int,
     for step in range(longest * shards):
         if step >= shards and (maps[-1] == maps[-1 - shards]).all():
             break
-        counts = _shard_counts(read(step % shards), maps[-1 - shards:], step, shards, longest)
+        shard = read(step % shards)
+        shared = shard.sparkSession.sparkContext.broadcast([_packed(m) for m in maps[-1 - shards:]])
+        counts = _shard_counts(shard, shared, step, shards, longest)
         if state is not None:
             counts = counts.unionByName(state)
         merged = materialise(counts.groupBy("hash").agg(F.sum("n").alias("n"), F.max("until").alias("until")), "running-counts")
+        shared.destroy()
         maps.append(set_bits(maps[-1], merged.where(F.col("n") >= least)))
         state = merged.where((F.col("n") < least) & (F.col("until") > step))
     return maps[-1]
@@ -153,14 +166,15 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
     ).write.partitionBy("shard").parquet(folder)
     written = spark.read.schema("text string, lang string, shard int").parquet(folder)
-    reached = spark.sparkContext.broadcast(_scan_in_circles(
-        lambda k: written.where(F.col("shard") == k).select("text", "lang"), shards, least, longest, bits))
+    reached = spark.sparkContext.broadcast(_packed(_scan_in_circles(
+        lambda k: written.where(F.col("shard") == k).select("text", "lang"), shards, least, longest, bits)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _unpacked(reached.value)
         for tokens in _each(batches):
             langs, lengths, phrases, ns = [], [], [], []
-            for length, at, hashes, _, _ in _levels(tokens, reached.value, longest):
-                good = in_bitmap(reached.value, hashes)
+            for length, at, hashes, _, _ in _levels(tokens, frequent, longest):
+                good = in_bitmap(frequent, hashes)
                 _, first, n = np.unique(hashes[good], return_index=True, return_counts=True)
                 places = at[good][first]
                 langs.append(tokens.lang_of[tokens.doc[places]])
