@@ -26,10 +26,13 @@ CHUNK = 2048
 BLOCK = 16_384
 STEPS = 400
 BATCH = 128
-RATE = 0.01
+RATE = 0.02
 SEED = 5
 #: Words and n-grams seen in fewer training texts count as unknown: their embedding is zero.
-LEAST_TEXTS = 4
+#: One text in 200, within these bounds.
+LEAST_TEXTS = (3, 8)
+#: So many of a step's words go without their own embedding, so that their characters must carry.
+DROP = 0.8
 #: Where callers separate the labels.
 CUT = 0.7
 MARK = 0x20
@@ -118,7 +121,7 @@ class BiGru:
         draw = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
         side = [[draw(0.25, 2 * EMBED, 3 * HIDDEN), draw(0.25, HIDDEN, 3 * HIDDEN), np.zeros(3 * HIDDEN, np.float32)]
                 for _ in range(2)]
-        return cls(draw(0.1, WORD_BUCKETS, EMBED), draw(0.3, GRAM_BUCKETS, EMBED), draw(0.3, EMBED), side,
+        return cls(np.zeros((WORD_BUCKETS, EMBED), np.float32), draw(0.05, GRAM_BUCKETS, EMBED), draw(0.3, EMBED), side,
                    draw(0.1, 2 * HIDDEN), draw(0.3, 2 * HIDDEN))
 
     # ---- words ----
@@ -251,7 +254,9 @@ def train(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray, owner: np.nda
     ``owner`` names each window's text, ``y`` each text's label. A text counts through one
     window a step: at first any, later, for texts of label 1, the one the network finds
     likeliest. Both labels are drawn equally often, later half of label 0 from the texts
-    most often mistaken; the number of steps is fixed. In the end the bias is moved so that
+    most often mistaken; the number of steps is fixed. Most words enter a step by their characters
+    alone (``DROP``); word embeddings begin at zero. So the network learns what words look like
+    rather than which texts they come from. In the end the bias is moved so that
     ``CUT`` lies between the likeliest windows of most texts of either label.
     """
     rng = np.random.default_rng(seed)
@@ -288,7 +293,8 @@ def train(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray, owner: np.nda
         flat = np.repeat(gram_at[:-1][rows], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         at = np.concatenate([[0], np.cumsum(sizes)])
         pooled, share, seen = net.pooled_grams(grams[flat], at)
-        vectors = np.concatenate([net.word[words[rows]], pooled], axis=1)
+        kept = rng.random(len(rows)) >= DROP
+        vectors = np.concatenate([net.word[words[rows]] * kept[:, None].astype(np.float32), pooled], axis=1)
         tables = net.tables(vectors)
         there = (local < len(rows)).astype(np.float32)
         keeps: list[list] = [[], []]
@@ -320,7 +326,7 @@ def train(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray, owner: np.nda
         adam.step("out", net.out, dlogit @ context, scale=scale)
         adam.step("bias", net.bias, np.array([dlogit.sum()]), scale=scale)
         dword, dchars = dvectors[:-1, :EMBED], dvectors[:-1, EMBED:]
-        learnt = known_word[words[rows]]
+        learnt = known_word[words[rows]] & kept
         _rows_step(adam, "word", net.word, words[rows][learnt], dword[learnt], scale)
         wide = np.repeat(dchars, sizes, axis=0)
         pull = share * ((seen - np.repeat(pooled, sizes, axis=0)) * wide).sum(axis=1)
@@ -328,6 +334,7 @@ def train(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray, owner: np.nda
         _rows_step(adam, "gram", net.gram, grams[flat][learnt],
                    (share[:, None] * wide + pull[:, None] * net.gram_look)[learnt], scale)
         adam.step("gram_look", net.gram_look, pull @ seen, scale=scale)
+    net.word *= 1 - DROP
     p = np.clip(_likeliest(net, data, bounds, codes, owner, len(y))[1], 1e-6, 1 - 1e-6)
     odds = np.log(p / (1 - p))
     # Nearer to label 1: a whole text has more windows, and so a likelier one, than its part here.
@@ -345,7 +352,7 @@ def _likeliest(net: BiGru, data, bounds, codes, owner, n_texts: int) -> tuple[np
 
 def _known(codes: np.ndarray, owner: np.ndarray, none: int, words: np.ndarray, grams: np.ndarray,
            gram_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word and gram buckets that occur in at least ``LEAST_TEXTS`` texts, counted some texts at a time."""
+    """The word and gram buckets that occur in enough texts (``LEAST_TEXTS``), counted some texts at a time."""
     seen_word, seen_gram = np.zeros(WORD_BUCKETS, np.int32), np.zeros(GRAM_BUCKETS, np.int32)
     sizes = np.diff(gram_at)
     for begin in range(0, int(owner.max(initial=-1)) + 1, 64):
@@ -358,7 +365,8 @@ def _known(codes: np.ndarray, owner: np.ndarray, none: int, words: np.ndarray, g
         flat = np.repeat(gram_at[:-1][word], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         grams_here = np.unique(np.repeat(text, n) * GRAM_BUCKETS + grams[flat]) % GRAM_BUCKETS
         seen_gram += np.bincount(grams_here, minlength=GRAM_BUCKETS).astype(np.int32)
-    return seen_word >= LEAST_TEXTS, seen_gram >= LEAST_TEXTS
+    least = min(max(LEAST_TEXTS[0], int(owner.max(initial=-1) + 1) // 200), LEAST_TEXTS[1])
+    return seen_word >= least, seen_gram >= least
 
 
 def _rows_step(adam: _Adam, name: str, table: np.ndarray, rows: np.ndarray, grads: np.ndarray, scale: float) -> None:

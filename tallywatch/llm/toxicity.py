@@ -20,7 +20,7 @@ from tallywatch.llm.labelled import bounded_sample
 from tallywatch.llm.words import byte_rows, coded_words, let, pieces, words_of
 
 PER_LABEL = 1500
-STRETCHES = 6
+STRETCHES = 12
 THRESHOLD = 0.7
 PIECE = 3_000_000
 

@@ -1,5 +1,7 @@
 """The two networks: gradients, held-out accuracy, odd rows."""
 
+import pathlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -115,3 +117,17 @@ def test_a_repeated_id_is_one_training_document(spark):
     rows = toxicity.training_rows(docs.repartition(4), labels).collect()
     assert {r["id"] for r in rows} == {1, 2} and len(rows) <= 2 * toxicity.STRETCHES
     assert len({r["s"].split("x")[0] for r in rows if r["id"] == 1}) == 1
+
+
+LARGE = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not pathlib.Path(LARGE).exists(), reason="no test data")
+def test_toxicity_of_rows_kept_out_of_the_fit(spark):
+    out = queries.op3_toxicity(spark, LARGE).where("held_out")
+    held = out.join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").where("toxic IS NOT NULL").toPandas()
+    toxic, clean = held[held.toxic == 1], held[held.toxic == 0]
+    assert len(toxic) > 100 and len(clean) > 1000
+    assert (toxic.predicted == 1).mean() >= 0.8 and (clean.predicted == 0).mean() >= 0.97
+    better = (toxic.score.to_numpy()[:, None] > clean.score.to_numpy()[None]).mean()
+    assert better > 0.94
