@@ -72,6 +72,20 @@ class _Tokens:
         return b" ".join(self.bytes[self.starts[k]:self.ends[k]].tobytes() for k in range(i, i + length))
 
 
+def _edges(ordered: np.ndarray) -> np.ndarray:
+    """Where another value begins."""
+    fresh = np.ones(len(ordered), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, how often each occurs)."""
+    ordered = np.sort(hashes)
+    edges = _edges(ordered)
+    return ordered[edges], np.diff(np.append(edges, len(ordered)))
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
     for batch in batches:
         at = 0
@@ -122,12 +136,14 @@ def _shard_counts(shard: DataFrame, shared: Broadcast[list[bytes]], step: int, s
                 if length > 1:
                     for k in range(len(maps) - 2, -1, -1):
                         begun[in_bitmap(maps[k], prefix) & in_bitmap(maps[k], suffix)] = step - (len(maps) - 1 - k)
-                counted = (begun > step - shards) & ~in_bitmap(maps[-1], hashes)
-                distinct, first, n = np.unique(hashes[counted], return_index=True, return_counts=True)
-                if len(distinct):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(distinct.view(np.int64)), pa.array(n, pa.int64()), pa.array(begun[counted][first] + shards - 1, pa.int32())],
-                        ["hash", "n", "until"])
+                undecided = ~in_bitmap(maps[-1], hashes)
+                # A phrase has one beginning, so those of each beginning are counted by themselves.
+                for since in range(max(0, step - shards + 1), step + 1):
+                    distinct, n = _counted(hashes[undecided & (begun == since)])
+                    if len(distinct):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(distinct.view(np.int64)), pa.array(n, pa.int64()), pa.array(np.full(len(n), since + shards - 1), pa.int32())],
+                            ["hash", "n", "until"])
 
     return shard.mapInArrow(count, "hash long, n long, until int")
 
@@ -175,8 +191,11 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             langs, lengths, phrases, ns = [], [], [], []
             for length, at, hashes, _, _ in _levels(tokens, frequent, longest):
                 good = in_bitmap(frequent, hashes)
-                _, first, n = np.unique(hashes[good], return_index=True, return_counts=True)
-                places = at[good][first]
+                at, hashes = at[good], hashes[good]
+                order = np.argsort(hashes)
+                edges = _edges(hashes[order])
+                n = np.diff(np.append(edges, len(order)))
+                places = at[order[edges]]
                 langs.append(tokens.lang_of[tokens.doc[places]])
                 phrases += [tokens.phrase(i, length) for i in places.tolist()]
                 lengths.append(np.full(len(n), length))
