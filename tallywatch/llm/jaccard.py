@@ -32,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -324,7 +324,7 @@ def _met(entries: DataFrame) -> DataFrame:
 
 
 def _whole_sets(texts: DataFrame, keys: DataFrame, width: int, bits: int) -> DataFrame:
-    """(key, items) of the sets named by ``keys``. A bitmap of fixed size keeps most others from leaving the task."""
+    """(key, items) of the sets named by ``keys``, with its other columns. A bitmap of fixed size keeps most others from leaving the task."""
     wanted = texts.sparkSession.sparkContext.broadcast(
         set_bits(np.zeros(1 << bits - 6, dtype=np.uint64), keys.select(F.col("key").alias("hash"))))
 
@@ -335,7 +335,7 @@ def _whole_sets(texts: DataFrame, keys: DataFrame, width: int, bits: int) -> Dat
             rows = _new(sets, rows, seen)
             yield pa.RecordBatch.from_arrays([pa.array(sets.key[rows].view(np.int64)), sets.lists(rows)], ["key", "items"])
 
-    found = texts.mapInArrow(listed, "key long, items array<long>").join(keys, "key", "left_semi")
+    found = texts.mapInArrow(listed, "key long, items array<long>").join(keys, "key")
     return found.dropDuplicates(["key"])
 
 
@@ -344,10 +344,13 @@ def _checked(pairs: DataFrame, texts: DataFrame, width: int, share: int, bits: i
     pairs = materialise(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = materialise(_whole_sets(texts, keys, width, bits), "whole-sets")
-    both = pairs.join(sets.select(F.col("key").alias("b"), F.col("items").alias("of_b")), "b").join(
-        sets.select(F.col("key").alias("a"), F.col("items").alias("of_a")), "a")
+    # A set is sent only to the sides of the pairs on which it stands.
+    sides = pairs.select(F.explode(F.array(
+        F.struct(F.col("a").alias("key"), F.lit(True).alias("first")), F.struct(F.col("b").alias("key"), F.lit(False).alias("first")))).alias("side"))
+    keys = sides.groupBy("side.key").agg(F.bool_or("side.first").alias("as_a"), (~F.bool_and("side.first")).alias("as_b"))
+    sets = materialise(_whole_sets(texts, materialise(keys, "pair-keys"), width, bits), "whole-sets")
+    both = pairs.join(sets.where("as_b").select(F.col("key").alias("b"), F.col("items").alias("of_b")), "b").join(
+        sets.where("as_a").select(F.col("key").alias("a"), F.col("items").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     together = F.size("of_a") + F.size("of_b") - F.col("common")
     return both.withColumn("common", common).where(F.col("common") * 100 >= share * together).select("a", "b")
@@ -357,9 +360,9 @@ def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: in
     """``links`` and further ones that connect all sets which the lists let link."""
     # The fewer of a set's first shingles are its own alone, the nearer it is to the middle of its group.
     first = F.col("n") - F.ceil(F.col("n") * F.when(F.col("n") > largest, share / 100).otherwise(2 * share / (100 + share)))
-    central = live.groupBy("key").agg(F.max(first).alias("first"), F.count("*").alias("met")).select(
-        "key", (F.col("first") - F.col("met")).alias("own"))
-    live = materialise(live.join(central, "key"), "central-entries")
+    # A key has as many entries as its text has first shingles, so one window holds part of one text.
+    own = (first - F.count("*").over(Window.partitionBy("key"))).cast("int")
+    live = materialise(live.withColumn("own", own), "central-entries")
 
     def labelled() -> DataFrame:
         roots = materialise(connected_components(links), "roots")
@@ -373,7 +376,9 @@ def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: in
 
     for k in range(rounds):
         entries = labelled() if k else live.withColumn("label", F.col("key"))
-        entries = entries.select("item", F.struct("own", F.xxhash64(F.lit(k), "key").alias("draw"), "key", "n", "place", "label").alias("one"))
+        # Keys are hashes, so the first round's ties need no draw, and its labels are the keys.
+        draw = F.xxhash64(F.lit(k), "key").alias("draw") if k else F.lit(None).cast("long").alias("draw")
+        entries = entries.select("item", F.struct("own", draw, "key", "n", "place", "label").alias("one"))
         leaders = entries.groupBy("item").agg(F.min("one").alias("lead"))
         pairs = entries.join(leaders, "item").where((F.col("one.label") != F.col("lead.label")) & may_link("one", "lead"))
         pairs = pairs.select(F.col("lead.key").alias("a"), F.col("one.key").alias("b")).distinct()
