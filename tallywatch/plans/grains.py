@@ -99,9 +99,9 @@ def run_grain(spark: SparkSession, grain: str, postings: DataFrame, ledger_path:
     """Clean, count, add to the ledger, load and trim the history, detect and write."""
     spec = GRAINS[grain]
     ledger.add_batch(spec.daily(postings, maps), ledger_path, spec.group, batch_id)
-    history = ledger.read_history(spark, ledger_path, spec.group)
+    history = ledger.load_history(spark, ledger_path, spec.group, n_dates)
     # Written once: the files and the summary below all read it.
-    result = materialise(detect(history, spec.group, n_dates=n_dates, **detect_options), "result")
+    result = materialise(detect(history, spec.group, **detect_options), "result")
     sinks.write_result_csv(result, spec.group, f"{out_path}/anomalies_{grain}")
     today = sinks.write_today_csv(result, spec.group, out_path, grain, run_date)
     bounds = detect_options.get("quantile_bounds", (0.95, 0.999))

@@ -53,6 +53,67 @@ def test_load_trims(spark, tmp_path):
     assert ledger.load_history(spark, path, "grp").count() == 45
 
 
+def test_load_reads_only_increments_with_new_dates(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = days(spark, range(1, 41))
+    week = F.floor(F.datediff("date", F.lit(START)) / 5)
+    for part in range(8):
+        ledger.add_batch(rows.where(week == part), path, "grp", f"w{part}")
+    # A late correction of a new day, one of an old day, and a segment with too few dates.
+    ledger.add_batch(rows.where(week == 7), path, "grp", "late")
+    ledger.add_batch(rows.where(week == 0), path, "grp", "old")
+    quiet = rows.where(week == 2).withColumn("src", F.lit("quiet"))
+    ledger.add_batch(quiet, path, "grp", "quiet")
+    want = sorted(map(tuple, history.last_n_dates(ledger.read_history(spark, path, "grp"), "grp", 8).collect()))
+    read = {r[0] for r in ledger.recent_increments(spark, path, "grp", 8).select("batch_id").distinct().collect()}
+    assert read == {"w6", "w7", "late", "quiet"}
+    # Files of the others are not even opened.
+    for part in ("w0", "w3", "old"):
+        for file in (tmp_path / "ledger" / "increments" / f"batch_id={part}").glob("*.parquet"):
+            file.write_bytes(b"no Parquet file")
+        for check in (tmp_path / "ledger" / "increments" / f"batch_id={part}").glob(".*.crc"):
+            check.unlink()
+    assert sorted(map(tuple, ledger.load_history(spark, path, "grp", 8).collect())) == want
+    assert len(want) == 13
+
+
+def test_batch_without_bounds_is_read(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = days(spark, range(1, 11))
+    ledger.add_batch(rows, path, "grp", "all")
+    ledger.add_batch(rows.where(F.col("job_count") <= 2), path, "grp", "first")
+    assert ledger.recent_increments(spark, path, "grp", 3).select("batch_id").distinct().count() == 1
+    # As after a run that stopped before it had written the bounds.
+    ledger._clear_bounds(spark, path, "grp", "first")
+    assert ledger.recent_increments(spark, path, "grp", 3).select("batch_id").distinct().count() == 2
+    ledger.clear(spark, path, "grp")
+    assert ledger.load_history(spark, path, "grp", 3).count() == 0
+    ledger.add_batch(rows.where(F.col("job_count") <= 2), path, "grp", "first")
+    assert ledger.load_history(spark, path, "grp", 3).count() == 2
+
+
+def test_overlapping_spans_are_not_counted_twice(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = days(spark, range(1, 11))
+    ledger.add_batch(rows, path, "grp", "all")
+    for batch in ("a", "b", "c"):
+        ledger.add_batch(rows.where(F.col("job_count") == 10), path, "grp", batch)
+    got = sorted(tuple(r)[3] for r in ledger.load_history(spark, path, "grp", 3).collect())
+    assert got == [8, 9, 40]
+
+
+def test_more_dates_than_the_bounds_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "BOUND_DATES", 2)
+    path = str(tmp_path / "ledger")
+    rows = days(spark, range(1, 13))
+    for part in range(3):
+        ledger.add_batch(rows.where(F.floor((F.col("job_count") - 1) / 4) == part), path, "grp", f"b{part}")
+    starts = {n: ledger.segment_starts(ledger.read_bounds(spark, path, "grp"), "grp", n).first()["start"] for n in (2, 4, 7)}
+    assert [starts[n].day if starts[n] else None for n in (2, 4, 7)] == [11, 7, None]
+    for n in (2, 4, 7):
+        assert sorted(r["job_count"] for r in ledger.load_history(spark, path, "grp", n).collect()) == list(range(13 - n, 13))
+
+
 def test_decode(spark):
     docs = spark.createDataFrame([("k", "01/02/2025", 3), ("l", "?", 4)], "_id string, date string, job_count long")
     out = history.decode_history(docs).orderBy("job_count").collect()

@@ -100,6 +100,19 @@ def ledger_compacted(spark, sf):
     return day(ledger.read_history(spark, smaller, G))
 
 
+@query("ledger_recent", f"""WITH {EVENTS_DAILY}
+SELECT CAST(date AS VARCHAR) AS date, grp, src, job_count FROM (
+  SELECT *, dense_rank() OVER (PARTITION BY grp, src ORDER BY date DESC) AS r FROM daily) WHERE r <= 5""")
+def ledger_recent(spark, sf):
+    """Newest dates from a ledger of four batches cut by date, the older ones of which are not read."""
+    counts, path = events_daily(spark, sf), new_folder(spark, "ledger")
+    first, last = counts.agg(F.min("date"), F.max("date")).first()
+    quarter = F.least(F.floor(F.datediff("date", F.lit(first)) * 4 / F.greatest(F.datediff(F.lit(last), F.lit(first)), F.lit(1))), F.lit(3))
+    for part in range(4):
+        ledger.add_batch(counts.where(quarter == part), path, G, f"quarter-{part}")
+    return day(ledger.load_history(spark, path, G, 5))
+
+
 def _last_n(source: str, n: int) -> str:
     return f"""WITH {source}
 SELECT CAST(date AS VARCHAR) AS date, grp, src, job_count FROM (
