@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.functions import dates
 from tallywatch.schemas import POSTING_COLUMNS
@@ -48,26 +49,35 @@ def tag_country(df: DataFrame, tag: str = "US") -> DataFrame:
     return df.withColumn("geo_level", F.lit(tag))
 
 
-def dedup_postings(df: DataFrame) -> DataFrame:
-    """Optional: keep one posting per ``job_key``, the one scraped first.
+def first_copies(df: DataFrame, copies) -> DataFrame:
+    """Of each window of ``copies`` the posting scraped first.
 
     Times are compared, not text; a posting without a time comes after all others, and
-    further ties go by the other columns. Postings without a key are all kept. One scan:
-    the rank filter drops copies before the shuffle, so a key with very many is no hot
-    spot, and each posting without a key is a group of its own.
+    further ties go by the other columns. The rank filter drops copies before the
+    shuffle, so a key with very many is no hot spot.
     """
     scraped = dates.mixed_timestamp(F.col("first_scrape_timestamp"))
-    own = F.when(F.col("job_key").isNull(), F.monotonically_increasing_id())
-    ties = [c for c in df.columns if c != "job_key"]
-    first = Window.partitionBy("job_key", "_own").orderBy(F.col("_scraped").asc_nulls_last(), *ties)
+    # Maps have no order of their own.
+    ties = [F.col(f"`{f.name}`").cast("string") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields if f.name not in ("job_key", "_own")]
+    first = copies.orderBy(F.col("_scraped").asc_nulls_last(), *ties)
     return (
-        df.withColumns({"_scraped": scraped, "_own": own})
+        df.withColumn("_scraped", scraped)
         .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") == 1)
-        .drop("_scraped", "_own", "_rank")
+        .drop("_scraped", "_rank")
     )
 
 
+def dedup_postings(df: DataFrame) -> DataFrame:
+    """Optional: keep one posting per ``job_key``, the one scraped first.
+
+    Postings without a key are all kept: each is a group of its own. One scan.
+    """
+    own = F.when(F.col("job_key").isNull(), F.monotonically_increasing_id())
+    return first_copies(df.withColumn("_own", own), Window.partitionBy("job_key", "_own")).drop("_own")
+
+
 def null_counts(df: DataFrame, columns: Iterable[str] = POSTING_COLUMNS) -> DataFrame:
     """One row: total rows and the nulls of each column."""
     return df.agg(

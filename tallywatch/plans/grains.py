@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallywatch.operators import cleaning, daily, geography, occupation, reports
 from tallywatch.operators.history import HISTORY_DATES
 from tallywatch.plans.detect import detect
-from tallywatch.sources import ledger, sinks
+from tallywatch.sources import ledger, seen, sinks
 from tallywatch.sources.scratch import materialise
 
 
@@ -95,9 +95,15 @@ class Run:
 
 def run_grain(spark: SparkSession, grain: str, postings: DataFrame, ledger_path: str, batch_id: str,
               out_path: str, run_date: dt.date, maps: Maps = Maps(), n_dates: int = HISTORY_DATES,
-              **detect_options) -> Run:
-    """Clean, count, add to the ledger, load and trim the history, detect and write."""
+              seen_path: str | None = None, **detect_options) -> Run:
+    """Clean, count, add to the ledger, load and trim the history, detect and write.
+
+    With ``seen_path`` a posting counts once over all batches: its key must be in no other
+    batch recorded there. Runs of several grains may share the folder under one batch id.
+    """
     spec = GRAINS[grain]
+    if seen_path is not None and not ledger.is_absorbed(spark, ledger_path, batch_id):
+        postings = seen.claim(postings, seen_path, batch_id)
     ledger.add_batch(spec.daily(postings, maps), ledger_path, spec.group, batch_id)
     history = ledger.load_history(spark, ledger_path, spec.group, n_dates)
     # Written once: the files and the summary below all read it.

@@ -69,6 +69,10 @@ def absorbed_batches(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, _absorbed(path), _ids())
 
 
+def is_absorbed(spark: SparkSession, path: str, batch_id: str) -> bool:
+    return not absorbed_batches(spark, path).where(F.col("batch_id") == batch_id).isEmpty()
+
+
 def read_bounds(spark: SparkSession, path: str, group: str) -> DataFrame:
     """(group, src, dates, batch_id), newest dates first, of the increments that have bounds."""
     return _read(spark, _bounds(path), T.StructType([*_bounds_schema(group).fields, *_ids().fields]))
@@ -94,7 +98,7 @@ def add_batch(counts: DataFrame, path: str, group: str, batch_id: str) -> bool:
     spark = counts.sparkSession
     if batch_id == COMPACTED:
         raise ValueError(f"{COMPACTED!r} is not a batch id")
-    if not absorbed_batches(spark, path).where(F.col("batch_id") == batch_id).isEmpty():
+    if is_absorbed(spark, path, batch_id):
         return False
     rows = conform(daily_sums(counts, group), daily(group))
     # Sorted by date, so that files can be skipped by their date range. The batch's folder

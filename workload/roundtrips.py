@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tallywatch.operators import alerts, detectors, occupation
 from tallywatch.plans.detect import detect
+from tallywatch.plans.grains import country_daily
 from tallywatch.schemas import conform, daily
-from tallywatch.sources import ledger, maps, sinks
+from tallywatch.sources import ledger, maps, seen, sinks
 from tallywatch.sources.postings import read_postings
 from tallywatch.sources.scratch import new_folder
 from workload.postings import POSTINGS, WEIGHTED, _rolled, _weighted_days
@@ -76,6 +77,21 @@ def ledger_cleared(spark, sf):
     return day(ledger.read_history(spark, path, G))
 
 
+@query("dedup_across_batches", f"""WITH {POSTINGS},
+first AS (SELECT *, row_number() OVER (PARTITION BY job_key ORDER BY CASE WHEN src < '3' THEN 0 ELSE 1 END,
+    try_cast(first_scrape_timestamp AS TIMESTAMP) NULLS LAST, state NULLS FIRST, zipcode NULLS FIRST,
+    correct_date NULLS FIRST, first_scrape_timestamp NULLS FIRST) AS r FROM cleaned)
+SELECT CAST(date AS VARCHAR) AS date, 'US' AS geo_level, src, count(*) AS job_count FROM first
+WHERE r = 1 AND date IS NOT NULL AND src IS NOT NULL GROUP BY first.date, src""")
+def dedup_across_batches(spark, sf):
+    """The two most urgent priorities as one batch, all postings as the next, and the first one once more."""
+    keys, path, rows = new_folder(spark, "seen"), new_folder(spark, "ledger"), postings(spark, sf)
+    early = rows.where(F.col("src") < "3")
+    for batch_id, batch in (("early", early), ("all", rows), ("early", early)):
+        ledger.add_batch(country_daily(seen.claim(batch, keys, batch_id)), path, "geo_level", batch_id)
+    return day(ledger.read_history(spark, path, "geo_level"))
+
+
 def _read_csv(spark, path, result):
     return spark.read.schema(result.schema).option("header", True).csv(path)
 

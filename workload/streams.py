@@ -9,7 +9,7 @@ from tallywatch.sources import ledger
 from tallywatch.sources.scratch import new_folder
 from tallywatch.streaming import cooldown as stream_alerts
 from tallywatch.streaming import daily as stream_daily
-from tallywatch.streaming.ingest import ingest
+from tallywatch.streaming.ingest import first_arrivals, ingest
 from workload.series import COOLED_1, DAILY_OUT, G, KEYS, _flagged
 from workload.tables import EVENTS_DAILY, day, event_rows, load
 
@@ -69,6 +69,19 @@ def stream_ledger(spark, sf):
     return day(ledger.read_history(spark, f"{out}/ledger", G))
 
 
+@query("stream_dedup", f"WITH {EVENTS_DAILY} {DAILY_OUT}")
+def stream_dedup(spark, sf):
+    """All events, a third of them again and all of them again, each counted once."""
+    out = new_folder(spark, "stream")
+    rows = event_rows(spark, sf).withColumn("ts", F.col("date").cast("timestamp"))
+    for copies in (rows, rows.where(F.col("event_id") % 3 == 0), rows):
+        copies.coalesce(1).write.mode("append").parquet(f"{out}/rows")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/rows")
+    once = first_arrivals(stream, "ts", key="event_id")
+    _wait(ingest(once, lambda batch: daily.daily_counts(batch, G), G, f"{out}/ledger", f"{out}/checkpoint"))
+    return day(ledger.read_history(spark, f"{out}/ledger", G))
+
+
 @query("stream_cooldown", f"""WITH {COOLED_1}
 SELECT grp, src, CAST(date AS VARCHAR) AS date FROM cooled WHERE is_anomaly = 1""")
 def stream_cooldown(spark, sf):
