@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,24 +78,29 @@ def dedup_postings(df: DataFrame) -> DataFrame:
     return first_copies(df.withColumn("_own", own), Window.partitionBy("job_key", "_own")).drop("_own")
 
 
+def null_metrics(columns: Iterable[str]) -> list[Column]:
+    return [F.count("*").alias("total_rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in columns]]
+
+
 def null_counts(df: DataFrame, columns: Iterable[str] = POSTING_COLUMNS) -> DataFrame:
     """One row: total rows and the nulls of each column."""
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-    )
+    return df.agg(*null_metrics(columns))
 
 
-def event_time_report(df: DataFrame) -> DataFrame:
-    """One row: event times missing after the first parse, filled, and still missing."""
+def event_time_metrics() -> list[Column]:
     parsed = dates.mixed_timestamp(F.col("first_scrape_timestamp"))
     fallback = dates.strict_timestamp(F.col("correct_date"))
-    return df.agg(
-        F.count("*").alias("total_rows"),
+    return [
         F.count_if(parsed.isNull()).alias("missing_first"),
         F.count_if(parsed.isNull() & fallback.isNotNull()).alias("filled"),
         F.count_if(parsed.isNull() & fallback.isNull()).alias("missing_last"),
-    )
+    ]
+
+
+def event_time_report(df: DataFrame) -> DataFrame:
+    """One row: event times missing after the first parse, filled, and still missing."""
+    return df.agg(F.count("*").alias("total_rows"), *event_time_metrics())
 
 
 def quality_flags(daily: DataFrame, group: str, lo, hi, valid_group=None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions import states, text
@@ -77,28 +79,29 @@ def impute_steps(df: DataFrame, zip_state: DataFrame, max_rows: int = BROADCAST_
 STEPS = ("s_valid", "s_remote", "s_zip", "s_code", "s_name")
 
 
-def impute_states(df: DataFrame, zip_state: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``correct_state``, the outcome of the whole rule cascade."""
-    return (
-        impute_steps(df, zip_state, max_rows)
-        .withColumn("correct_state", F.col("s_name"))
-        .drop(*STEPS)
-    )
+def impute_states(df: DataFrame, zip_state: DataFrame, max_rows: int = BROADCAST_ROWS,
+                  watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Add ``correct_state``, the outcome of the whole rule cascade; ``watch`` may observe the steps."""
+    steps = impute_steps(df, zip_state, max_rows)
+    return (watch(steps) if watch else steps).withColumn("correct_state", F.col("s_name")).drop(*STEPS)
 
 
 def use_imputed_state(df: DataFrame) -> DataFrame:
     return df.withColumn("state", F.col("correct_state")).drop("correct_state")
 
 
-def impute_funnel(df: DataFrame, zip_state: DataFrame) -> DataFrame:
-    """One row: postings resolved by each rule, and those left without a state."""
-    steps = impute_steps(df, zip_state)
+def funnel_metrics() -> list[Column]:
     solved = [F.coalesce(F.col(s), F.lit("")) != "" for s in STEPS]
     names = ("by_state", "by_remote", "by_zip", "by_code", "by_name")
     counts = [F.count_if(solved[0]).alias(names[0])]
     for i in range(1, len(STEPS)):
         counts.append(F.count_if(solved[i] & ~solved[i - 1]).alias(names[i]))
-    return steps.agg(F.count("*").alias("total_rows"), *counts, F.count_if(~solved[-1]).alias("unresolved"))
+    return [F.count("*").alias("total_rows"), *counts, F.count_if(~solved[-1]).alias("unresolved")]
+
+
+def impute_funnel(df: DataFrame, zip_state: DataFrame) -> DataFrame:
+    """One row: postings resolved by each rule, and those left without a state."""
+    return impute_steps(df, zip_state).agg(*funnel_metrics())
 
 
 def zip_lengths(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.operators import cleaning, daily, geography, occupation, reports
 from tallywatch.operators.history import HISTORY_DATES
+from tallywatch.plans.counters import Counters
 from tallywatch.plans.detect import detect
 from tallywatch.sources import ledger, seen, sinks
 from tallywatch.sources.scratch import materialise
@@ -24,7 +25,7 @@ class Maps:
     zip_state: DataFrame | None = None
 
 
-def country_daily(postings: DataFrame, maps: Maps = Maps()) -> DataFrame:
+def country_daily(postings: DataFrame, maps: Maps = Maps(), counters: Counters | None = None) -> DataFrame:
     """Postings per day and source under one country tag.
 
     Neither the postal code nor the state enters the result, so neither is repaired.
@@ -32,18 +33,19 @@ def country_daily(postings: DataFrame, maps: Maps = Maps()) -> DataFrame:
     return daily.daily_counts(cleaning.tag_country(cleaning.clean_postings(postings)), "geo_level")
 
 
-def imputed_postings(postings: DataFrame, maps: Maps) -> DataFrame:
+def imputed_postings(postings: DataFrame, maps: Maps, counters: Counters | None = None) -> DataFrame:
     """Cleaned postings with repaired postal code and imputed state; no shuffle."""
     cleaned = geography.repair_zip(cleaning.clean_postings(postings), maps.zip_fix)
-    return geography.use_imputed_state(geography.impute_states(cleaned, maps.zip_state))
+    watch = counters.states if counters else None
+    return geography.use_imputed_state(geography.impute_states(cleaned, maps.zip_state, watch=watch))
 
 
-def state_daily(postings: DataFrame, maps: Maps) -> DataFrame:
+def state_daily(postings: DataFrame, maps: Maps, counters: Counters | None = None) -> DataFrame:
     """Postings per day, imputed state and source."""
-    return daily.daily_counts(imputed_postings(postings, maps), "state")
+    return daily.daily_counts(imputed_postings(postings, maps, counters), "state")
 
 
-def occupation_daily(postings: DataFrame, maps: Maps = Maps()) -> DataFrame:
+def occupation_daily(postings: DataFrame, maps: Maps = Maps(), counters: Counters | None = None) -> DataFrame:
     """Job counts per day, rolled occupation code and source."""
     days = occupation.code_days(cleaning.clean_postings(postings))
     return occupation.daily_rolled_counts(occupation.roll_low_volume(days))
@@ -52,7 +54,7 @@ def occupation_daily(postings: DataFrame, maps: Maps = Maps()) -> DataFrame:
 @dataclass(frozen=True)
 class Grain:
     group: str
-    daily: Callable[[DataFrame, Maps], DataFrame]
+    daily: Callable[[DataFrame, Maps, Counters | None], DataFrame]
 
 
 GRAINS = {
@@ -88,6 +90,8 @@ class Run:
     result: DataFrame
     summary: DataFrame
     today_path: str | None
+    #: Of this batch's postings; empty if not asked for or if a compaction holds the batch already.
+    counters: dict[str, dict[str, int]]
 
     def pivot(self, group: str) -> DataFrame:
         return reports.pivot_counts(self.result, group)
@@ -95,20 +99,24 @@ class Run:
 
 def run_grain(spark: SparkSession, grain: str, postings: DataFrame, ledger_path: str, batch_id: str,
               out_path: str, run_date: dt.date, maps: Maps = Maps(), n_dates: int = HISTORY_DATES,
-              seen_path: str | None = None, **detect_options) -> Run:
+              seen_path: str | None = None, with_counters: bool = False,
+              **detect_options) -> Run:
     """Clean, count, add to the ledger, load and trim the history, detect and write.
 
     With ``seen_path`` a posting counts once over all batches: its key must be in no other
     batch recorded there. Runs of several grains may share the folder under one batch id.
+    ``with_counters`` reads all posting columns and counts gaps and, for states, the rules used.
     """
     spec = GRAINS[grain]
     if seen_path is not None and not ledger.is_absorbed(spark, ledger_path, batch_id):
         postings = seen.claim(postings, seen_path, batch_id)
-    ledger.add_batch(spec.daily(postings, maps), ledger_path, spec.group, batch_id)
+    counters = Counters() if with_counters else None
+    counts = spec.daily(counters.postings(postings) if counters else postings, maps, counters)
+    added = ledger.add_batch(counts, ledger_path, spec.group, batch_id)
     history = ledger.load_history(spark, ledger_path, spec.group, n_dates)
     # Written once: the files and the summary below all read it.
     result = materialise(detect(history, spec.group, **detect_options), "result")
     sinks.write_result_csv(result, spec.group, f"{out_path}/anomalies_{grain}")
     today = sinks.write_today_csv(result, spec.group, out_path, grain, run_date)
     bounds = detect_options.get("quantile_bounds", (0.95, 0.999))
-    return Run(result, reports.run_summary(result, spec.group, *bounds), today)
+    return Run(result, reports.run_summary(result, spec.group, *bounds), today, counters.read() if counters and added else {})

@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--ledger", required=True, help="folder of the history ledger")
     args.add_argument("--batch-id", required=True, help="the same id twice counts once")
     args.add_argument("--seen", help="folder of the posting keys counted so far; a posting then counts once over all batches")
+    args.add_argument("--counters", action="store_true", help="print gaps and repairs of this batch")
     args.add_argument("--out", required=True, help="folder for the result files")
     args.add_argument("--zip-fix", help="short postal codes, CSV or Parquet (state grain)")
     args.add_argument("--zip-state", help="state of each postal code, CSV or Parquet (state grain)")
@@ -32,8 +33,11 @@ def main(argv: list[str] | None = None) -> None:
         read_zip_state(spark, given.zip_state) if given.zip_state else None,
     )
     run = run_grain(spark, given.grain, read_postings(spark, given.postings), given.ledger, given.batch_id,
-                    given.out, given.run_date, maps, seen_path=given.seen)
+                    given.out, given.run_date, maps, seen_path=given.seen,
+                    with_counters=given.counters)
     run.summary.show(truncate=False)
+    for part, counts in run.counters.items():
+        print(f"{part}: " + ", ".join(f"{name} {n}" for name, n in counts.items()))
     print(f"alerts of the latest day: {run.today_path or 'none'}")
 
 
