@@ -94,23 +94,29 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
             at += len(texts)
 
 
-def _levels(tokens: _Tokens, reached: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(length, places, hashes, prefix hashes, suffix hashes) of phrases whose two parts have reached the threshold.
+def _levels(tokens: _Tokens, maps: list[np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(length, places, hashes, since) of phrases whose two parts have reached the threshold in the last of ``maps``.
 
-    A word has no parts; all words come.
+    ``since`` is the first of the maps, oldest first, under which the phrase comes, so all shorter phrases in it come
+    too. That its two parts are in a map does not suffice: a part's bit may be another phrase's while the part's own
+    parts are not there yet. A word has no parts; all words come, from the first map on.
     """
-    at, hashes = np.arange(len(tokens.hash)), tokens.hash
-    yield 1, at, hashes, hashes, hashes
+    at, hashes, since = np.arange(len(tokens.hash)), tokens.hash, np.zeros(len(tokens.hash), dtype=np.int8)
+    yield 1, at, hashes, since
     for length in range(2, longest + 1):
-        good = in_bitmap(reached, hashes)
-        at, hashes = at[good], hashes[good]
+        good = in_bitmap(maps[-1], hashes)
+        at, hashes, since = at[good], hashes[good], since[good]
         if len(at) < 2:
             return
+        set_in = np.full(len(at), len(maps) - 1, dtype=np.int8)
+        for k in range(len(maps) - 2, -1, -1):
+            set_in[in_bitmap(maps[k], hashes)] = k
+        ready = np.maximum(since, set_in)
         pair = np.flatnonzero((at[1:] == at[:-1] + 1))
         pair = pair[tokens.piece[at[pair]] == tokens.piece[at[pair] + length - 1]]
-        prefix, suffix, at = hashes[pair], hashes[pair + 1], at[pair]
+        prefix, since, at = hashes[pair], np.maximum(ready[pair], ready[pair + 1]), at[pair]
         hashes = extended(prefix, tokens.hash[at + length - 1])
-        yield length, at, hashes, prefix, suffix
+        yield length, at, hashes, since
 
 
 def _packed(bitmap: np.ndarray) -> bytes:
@@ -131,18 +137,14 @@ def _shard_counts(shard: DataFrame, shared: Broadcast[list[bytes]], step: int, s
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [_unpacked(packed) for packed in shared.value]
         for tokens in _each(batches):
-            for length, _, hashes, prefix, suffix in _levels(tokens, maps[-1], longest):
-                begun = np.full(len(hashes), 0 if length == 1 else step)
-                if length > 1:
-                    for k in range(len(maps) - 2, -1, -1):
-                        begun[in_bitmap(maps[k], prefix) & in_bitmap(maps[k], suffix)] = step - (len(maps) - 1 - k)
+            for _, _, hashes, since in _levels(tokens, maps, longest):
                 undecided = ~in_bitmap(maps[-1], hashes)
                 # A phrase has one beginning, so those of each beginning are counted by themselves.
-                for since in range(max(0, step - shards + 1), step + 1):
-                    distinct, n = _counted(hashes[undecided & (begun == since)])
+                for begun in range(max(0, step - shards + 1), step + 1):
+                    distinct, n = _counted(hashes[undecided & (since == begun - step + len(maps) - 1)])
                     if len(distinct):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(distinct.view(np.int64)), pa.array(n, pa.int64()), pa.array(np.full(len(n), since + shards - 1), pa.int32())],
+                            [pa.array(distinct.view(np.int64)), pa.array(n, pa.int64()), pa.array(np.full(len(n), begun + shards - 1), pa.int32())],
                             ["hash", "n", "until"])
 
     return shard.mapInArrow(count, "hash long, n long, until int")
@@ -189,7 +191,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         frequent = _unpacked(reached.value)
         for tokens in _each(batches):
             langs, lengths, phrases, ns = [], [], [], []
-            for length, at, hashes, _, _ in _levels(tokens, frequent, longest):
+            for length, at, hashes, _ in _levels(tokens, [frequent], longest):
                 good = in_bitmap(frequent, hashes)
                 at, hashes = at[good], hashes[good]
                 order = np.argsort(hashes)
@@ -234,7 +236,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     task's batch and by their text after it.
     """
     counts = materialise(phrase_counts(docs, text_col, lang_col, least, longest, shards, bits), "phrase-counts")
-    key = F.concat_ws("\x00", "lang", "phrase")
+    # Both by themselves: a text that joins them would depend on what a language's name may hold.
+    key = F.struct("lang", "phrase")
     phrases = counts.where("length > 0")
     candidates = phrases.where("length > 1").withColumn("words", F.split("phrase", " "))
     # A longer phrase that is frequent enough has one in between that is too, so one word more is all to look at.
@@ -251,8 +254,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         "lang", "phrase", F.col("n").alias("a"), "words", "length", F.explode(F.sequence(F.lit(1), F.col("length") - 1)).alias("k"))
     cuts = cuts.select(
         "lang", "phrase", "a", "k",
-        F.concat_ws("\x00", "lang", _part(F.col("words"), 1, F.col("k"))).alias("first"),
-        F.concat_ws("\x00", "lang", _part(F.col("words"), F.col("k") + 1, F.col("length") - F.col("k"))).alias("rest"))
+        F.struct("lang", _part(F.col("words"), 1, F.col("k")).alias("phrase")).alias("first"),
+        F.struct("lang", _part(F.col("words"), F.col("k") + 1, F.col("length") - F.col("k")).alias("phrase")).alias("rest"))
     cuts = lookup(cuts, "first", phrases.select(key.alias("first"), F.col("n").alias("l")))
     cuts = lookup(cuts, "rest", phrases.select(key.alias("rest"), F.col("n").alias("r")))
     scored = cuts.withColumn("score", F.expr(f"({SCALE}BD * cast(a AS decimal(20,0))) div (cast(l AS decimal(20,0)) + cast(r AS decimal(20,0)))"))

@@ -4,9 +4,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallywatch.llm import phrases
+from tallywatch.llm.words import extended
 from tests.llm import edge
 
 
@@ -101,3 +104,31 @@ def test_columns_with_dots_and_maps(spark):
     docs = spark.createDataFrame([("a b", "en", {"k": 1})] * 40, "`the.text` string, `the.lang` string, m map<string,long>")
     row = phrases.collocations(docs, "the.text", "the.lang").first()
     assert (row["phrase"], row["a"], row["l"], row["r"], row["n"], row["score"]) == ("a b", 40, 40, 40, 80, 1_000_000)
+
+
+def compared(spark, rows, least, **kw):
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    counts = phrases.phrase_counts(docs, least=least, **kw)
+    assert {(r["lang"], r["phrase"]): r["n"] for r in counts.collect()} == {
+        k: n for k, n in all_counts(rows).items() if n >= least or k[1] is None}
+    out = phrases.collocations(docs, least=least, top=2000, **kw)
+    got = [tuple(r) for r in out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows, least, 2000)
+
+
+def test_a_phrase_whose_part_shares_its_bit_with_a_word(spark):
+    bits = 16
+    stock = [f"w{i}" for i in range(400_000)]
+    x, y = phrases._Tokens(pa.array(["x y"]), pa.array(["en"])).hash
+    pair = extended(np.array([x]), np.array([y]))[0] >> np.uint64(64 - bits)
+    hashes = phrases._Tokens(pa.array([" ".join(stock)]), pa.array(["en"])).hash >> np.uint64(64 - bits)
+    double = stock[int(np.flatnonzero(hashes == pair)[0])]
+    # Rows go to the three shards in turn. The bit of "x y" is set by the first, "y z" reaches six in the second, "x" in the third.
+    first = " ".join(["x y z", *["y z."] * 9, *[double + "."] * 9])
+    rows = [(first, "en"), ("x y z. x y z." + "y z." * 9, "en"), ("x y z. x y z. x y z", "en")]
+    compared(spark, rows, 6, bits=bits)
+
+
+def test_languages_and_words_with_zero_bytes(spark):
+    rows = [("b\x00c d", "a")] * 7 + [("c d", "a\x00b")] * 5 + [("c", "a\x00b")] * 9
+    compared(spark, rows, 5)
