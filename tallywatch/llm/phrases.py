@@ -15,20 +15,26 @@ nothing, because a last scan counts the phrases that the bitmap holds by their o
 only those counts are returned. Phrases that have reached the threshold are no longer
 emitted, and counts of the others are dropped at the end of their round, so the table of
 running counts, which Spark keeps merged by hash, holds only what is undecided.
+
+Running counts go by the first bits of a phrase's hash, sorted and packed as blocks: one row
+holds a task's counts of one part of all hashes whose rounds end with one step. Phrases that
+share those bits are counted as one, so one of them may come early but none is missed.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.joins import lookup
+from tallywatch.functions.joins import join_frequent_apart, lookup
 from tallywatch.llm.words import byte_rows, extended, hash64, in_bitmap, pieces, set_bits, span_hashes, word_spans
 from tallywatch.sources.scratch import materialise, new_folder
 
@@ -40,7 +46,12 @@ TOP = 2000
 #: A phrase goes if a longer one around it is at least so frequent, in hundredths.
 HELD = 80
 SCALE = 2_000_000
-PIECE = 8_000_000
+#: Texts are handled in pieces of about so many bytes; hashes of several pieces are counted together, phrases kept with their text.
+PIECE = 1_000_000
+CHUNK = 1 << 21
+KEPT = 1 << 20
+#: Bits of a hash after those that name its part.
+LOW = 32
 NO_LANG = "und"
 
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -60,7 +71,7 @@ class _Tokens:
         self.starts, self.ends = word_spans(word, bounds)
         self.doc = np.searchsorted(bounds, self.starts, side="right") - 1
         # Neither separators nor the end of a text lie between words of one piece.
-        self.piece = np.cumsum(kind == 2)[self.starts] + self.doc if len(raw) else np.zeros(0, np.int64)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts] + self.doc if len(raw) else np.zeros(0, np.int64)
         coded = langs.dictionary_encode()
         self.lang_of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.langs = coded.dictionary
@@ -68,8 +79,23 @@ class _Tokens:
         hashes = span_hashes(self.bytes, self.starts, self.ends)
         self.hash = extended(tags[self.lang_of[self.doc]], hashes) if len(hashes) else hashes
 
-    def phrase(self, i: int, length: int) -> bytes:
-        return b" ".join(self.bytes[self.starts[k]:self.ends[k]].tobytes() for k in range(i, i + length))
+    def phrases(self, at: np.ndarray, length: int) -> pa.Array:
+        """The phrases of ``length`` words from some words on, their words joined by one space."""
+        starts, ends = self.starts[at], self.ends[at + length - 1]
+        # In most places there is one blank between words already; the others are put together word by word.
+        single = ends - starts == sum(self.ends[at + k] - self.starts[at + k] for k in range(length)) + length - 1
+        starts, sizes = starts[single], (ends - starts)[single]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.bytes[np.repeat(starts - bounds[:-1], sizes) + np.arange(bounds[-1])]
+        data[data == 0x09] = 0x20
+        direct = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        if single.all():
+            return direct
+        others = pa.array([b" ".join(self.bytes[self.starts[k]:self.ends[k]].tobytes() for k in range(i, i + length))
+                           for i in at[~single].tolist()], pa.large_binary())
+        order = np.empty(len(at), dtype=np.int64)
+        order[single], order[~single] = np.arange(len(direct)), len(direct) + np.arange(len(others))
+        return pa.concat_arrays([direct, others]).take(pa.array(order))
 
 
 def _edges(ordered: np.ndarray) -> np.ndarray:
@@ -86,6 +112,68 @@ def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[edges], np.diff(np.append(edges, len(ordered)))
 
 
+class _Kept:
+    """Phrases of several batches with their text and counts, told apart by their hashes, and the words of each language."""
+
+    def __init__(self):
+        self.known = np.zeros(0, dtype=np.uint64)
+        self.lengths, self.langs, self.phrases = [], [], []
+        self.hashes, self.n = [], []
+        self.totals: Counter[str] = Counter()
+
+    def count(self, tokens: _Tokens, frequent: np.ndarray, longest: int) -> None:
+        fresh, known = [], np.sort(self.known)
+        for length, at, hashes, _ in _levels(tokens, [frequent], longest):
+            good = in_bitmap(frequent, hashes)
+            at, hashes = at[good], hashes[good]
+            order = np.argsort(hashes)
+            edges = _edges(hashes[order])
+            distinct, places = hashes[order[edges]], at[order[edges]]
+            self.hashes.append(distinct)
+            self.n.append(np.diff(np.append(edges, len(order))))
+            if len(known):
+                place = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+                new = known[place] != distinct
+                distinct, places = distinct[new], places[new]
+            fresh.append(distinct)
+            self.langs.append(tokens.langs.take(pa.array(tokens.lang_of[tokens.doc[places]])))
+            self.lengths.append(np.full(len(places), length))
+            self.phrases.append(tokens.phrases(places, length))
+        self.known = np.concatenate([self.known, *fresh])
+        for lang, n in zip(tokens.langs.to_pylist(), np.bincount(tokens.lang_of[tokens.doc], minlength=len(tokens.langs)).tolist()):
+            self.totals[lang] += n
+
+    def blocks(self, part_bits: int) -> pa.RecordBatch:
+        """(part, block): the phrases of each part of all hashes as one Arrow table; the first part has the languages' words too."""
+        order = np.argsort(self.known)
+        hashes, each = np.concatenate([np.zeros(0, np.uint64), *self.hashes]), np.concatenate([np.zeros(0, np.int64), *self.n])
+        by_hash = np.argsort(hashes)
+        n = np.add.reduceat(each[by_hash], _edges(hashes[by_hash])) if len(hashes) else each
+        rows = pa.table({
+            "lang": pa.concat_arrays([pa.array([], pa.string()), *self.langs]).take(pa.array(order)),
+            "length": pa.array(np.concatenate([np.zeros(0, np.int64), *self.lengths])[order], pa.int32()),
+            "phrase": pa.concat_arrays([pa.array([], pa.large_binary()), *self.phrases]).take(pa.array(order)),
+            "n": pa.array(n, pa.int64())})
+        part = (self.known[order] >> np.uint64(64 - part_bits)).astype(np.int32)
+        bounds = np.append(_edges(part), len(part)) if len(part) else np.zeros(1, np.int64)
+        tables = [(0, pa.table([list(self.totals), [0] * len(self.totals), [None] * len(self.totals), list(self.totals.values())], schema=rows.schema))]
+        tables += [(int(part[lo]), rows.slice(lo, hi - lo)) for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in tables], pa.int32()), pa.array([_as_bytes(table) for _, table in tables], pa.binary())], ["part", "block"])
+
+
+def _as_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(tables).group_by(["lang", "length", "phrase"]).aggregate([("n", "sum")])
+    return sums.rename_columns(["lang", "length", "phrase", "n"])
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Tokens]:
     for batch in batches:
         at = 0
@@ -128,44 +216,113 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), dtype=np.uint64)
 
 
-def _shard_counts(shard: DataFrame, shared: Broadcast[list[bytes]], step: int, shards: int, longest: int) -> DataFrame:
-    """(hash, n, until): undecided phrases of a shard, with the step that ends their round.
+def _block(low: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted values and their counts; steps between values are small, so the bytes of one place go together."""
+    steps = np.diff(low, prepend=np.uint32(0))
+    return zlib.compress(np.concatenate([steps, n.astype(np.uint32)]).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unblock(block: bytes) -> np.ndarray:
+    """Values and counts of a block, each value in the upper half of a number and its count in the lower one."""
+    flat = np.frombuffer(zlib.decompress(block), dtype=np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+    low, n = np.cumsum(flat[:len(flat) // 2], dtype=np.uint32), flat[len(flat) // 2:]
+    return low.astype(np.uint64) << np.uint64(32) | n
+
+
+_COUNTS = "part int, until int, block binary, hash long"
+
+
+def _blocks(hashes: np.ndarray, until: int, least: int, part_bits: int) -> pa.RecordBatch:
+    """Counts of hashes as one row for each part."""
+    keys, n = _counted(hashes >> np.uint64(64 - LOW - part_bits))
+    n = np.minimum(n, least)
+    part, low = (keys >> np.uint64(LOW)).astype(np.int32), keys.astype(np.uint32)
+    bounds = np.append(_edges(part), len(part))
+    blocks = [_block(low[lo:hi], n[lo:hi]) for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return pa.RecordBatch.from_arrays([
+        pa.array(part[bounds[:-1]]), pa.array(np.full(len(blocks), until), pa.int32()), pa.array(blocks, pa.binary()),
+        pa.nulls(len(blocks), pa.int64())], ["part", "until", "block", "hash"])
+
+
+def _shard_counts(shard: DataFrame, shared: Broadcast[list[bytes]], step: int, shards: int, least: int, longest: int, part_bits: int) -> DataFrame:
+    """Blocks of undecided phrases of a shard, with the step that ends their round.
 
     ``shared`` holds the bitmaps at the beginning of this step and of up to ``shards`` steps before, oldest first.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = [_unpacked(packed) for packed in shared.value]
+        held: dict[int, list[np.ndarray]] = {begun: [] for begun in range(max(0, step - shards + 1), step + 1)}
         for tokens in _each(batches):
             for _, _, hashes, since in _levels(tokens, maps, longest):
                 undecided = ~in_bitmap(maps[-1], hashes)
                 # A phrase has one beginning, so those of each beginning are counted by themselves.
-                for begun in range(max(0, step - shards + 1), step + 1):
-                    distinct, n = _counted(hashes[undecided & (since == begun - step + len(maps) - 1)])
-                    if len(distinct):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(distinct.view(np.int64)), pa.array(n, pa.int64()), pa.array(np.full(len(n), begun + shards - 1), pa.int32())],
-                            ["hash", "n", "until"])
-
-    return shard.mapInArrow(count, "hash long, n long, until int")
+                for begun, waiting in held.items():
+                    waiting.append(hashes[undecided & (since == begun - step + len(maps) - 1)])
+            for begun, waiting in held.items():
+                if sum(map(len, waiting)) >= CHUNK:
+                    yield _blocks(np.concatenate(waiting), begun + shards - 1, least, part_bits)
+                    waiting.clear()
+        for begun, waiting in held.items():
+            if any(map(len, waiting)):
+                yield _blocks(np.concatenate(waiting), begun + shards - 1, least, part_bits)
+
+    return shard.mapInArrow(count, _COUNTS)
+
+
+def _merged(counts: DataFrame, step: int, least: int, part_bits: int) -> DataFrame:
+    """Blocks of what is undecided after this step, one for each part and end of a round, and the hashes that have reached ``least``."""
+
+    def summed(part: int, until: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        both = np.sort(np.concatenate([_unblock(block) for block in blocks]))
+        low = (both >> np.uint64(32)).astype(np.uint32)
+        edges = _edges(low)
+        low, n = low[edges], np.add.reduceat(both & np.uint64(0xFFFFFFFF), edges)
+        reached = n >= least
+        hashes = (low[reached].astype(np.uint64) | np.uint64(part) << np.uint64(LOW)) << np.uint64(64 - LOW - part_bits)
+        names = ["part", "until", "block", "hash"]
+        if len(hashes):
+            empty = [pa.nulls(len(hashes), kind) for kind in (pa.int32(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(hashes.view(np.int64))], names)
+        if until > step and not reached.all():
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part], pa.int32()), pa.array([until], pa.int32()), pa.array([_block(low[~reached], n[~reached])]),
+                pa.nulls(1, pa.int64())], names)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come by part and end, so one of these is in memory at a time.
+        last, blocks = None, []
+        for batch in batches:
+            for part, until, block in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if (part, until) != last and blocks:
+                    yield from summed(*last, blocks)
+                    blocks = []
+                last = part, until
+                blocks.append(block)
+        if blocks:
+            yield from summed(*last, blocks)
+
+    return counts.repartition("part").sortWithinPartitions("part", "until").mapInArrow(merge, _COUNTS)
 
 
 def _scan_in_circles(read: Callable[[int], DataFrame], shards: int, least: int, longest: int, bits: int) -> np.ndarray:
     """The bitmap of all phrases that reach the threshold, and perhaps of some that do not."""
     maps = [np.zeros(1 << bits - 6, dtype=np.uint64)]
     state = None
+    # Parts grow as the root of the tasks do, so that neither a part nor the number of rows grows with all of the input.
+    part_bits = 4 + read(0).rdd.getNumPartitions().bit_length() // 2
     for step in range(longest * shards):
         if step >= shards and (maps[-1] == maps[-1 - shards]).all():
             break
         shard = read(step % shards)
         shared = shard.sparkSession.sparkContext.broadcast([_packed(m) for m in maps[-1 - shards:]])
-        counts = _shard_counts(shard, shared, step, shards, longest)
+        counts = _shard_counts(shard, shared, step, shards, least, longest, part_bits)
         if state is not None:
             counts = counts.unionByName(state)
-        merged = materialise(counts.groupBy("hash").agg(F.sum("n").alias("n"), F.max("until").alias("until")), "running-counts")
+        merged = materialise(_merged(counts, step, least, part_bits), "running-counts")
         shared.destroy()
-        maps.append(set_bits(maps[-1], merged.where(F.col("n") >= least)))
-        state = merged.where((F.col("n") < least) & (F.col("until") > step))
+        maps.append(set_bits(maps[-1], merged.where("hash IS NOT NULL").select("hash")))
+        state = merged.where("block IS NOT NULL")
     return maps[-1]
 
 
@@ -182,38 +339,54 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"),
-    ).write.partitionBy("shard").parquet(folder)
+    ).write.option("compression", "zstd").partitionBy("shard").parquet(folder)
     written = spark.read.schema("text string, lang string, shard int").parquet(folder)
     reached = spark.sparkContext.broadcast(_packed(_scan_in_circles(
         lambda k: written.where(F.col("shard") == k).select("text", "lang"), shards, least, longest, bits)))
 
+    # Texts take more room than hashes do, so their parts are smaller.
+    part_bits = 7 + written.rdd.getNumPartitions().bit_length() // 2
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = _unpacked(reached.value)
+        kept = _Kept()
         for tokens in _each(batches):
-            langs, lengths, phrases, ns = [], [], [], []
-            for length, at, hashes, _ in _levels(tokens, [frequent], longest):
-                good = in_bitmap(frequent, hashes)
-                at, hashes = at[good], hashes[good]
-                order = np.argsort(hashes)
-                edges = _edges(hashes[order])
-                n = np.diff(np.append(edges, len(order)))
-                places = at[order[edges]]
-                langs.append(tokens.lang_of[tokens.doc[places]])
-                phrases += [tokens.phrase(i, length) for i in places.tolist()]
-                lengths.append(np.full(len(n), length))
-                ns.append(n)
-            totals = np.bincount(tokens.lang_of[tokens.doc], minlength=len(tokens.langs))
-            langs.append(np.arange(len(totals)))
-            phrases += [None] * len(totals)
-            lengths.append(np.zeros(len(totals)))
-            ns.append(totals)
-            yield pa.RecordBatch.from_arrays(
-                [tokens.langs.take(pa.array(np.concatenate(langs))), pa.array(np.concatenate(lengths), pa.int32()),
-                 pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.concatenate(ns), pa.int64())],
-                ["lang", "length", "phrase", "n"])
-
-    each = written.select("text", "lang").mapInArrow(count, "lang string, length int, phrase string, n long")
-    return each.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("length") == 0))
+            kept.count(tokens, frequent, longest)
+            if len(kept.known) >= KEPT:
+                yield kept.blocks(part_bits)
+                kept = _Kept()
+        yield kept.blocks(part_bits)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def whole(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+            rows = _summed(tables)
+            rows = rows.filter(pc.or_(pc.greater_equal(rows["n"], least), pc.equal(rows["length"], 0)))
+            return iter(rows.set_column(2, "phrase", rows["phrase"].cast(pa.string())).to_batches())
+
+        last, tables, n = None, [], 0
+        for batch in batches:
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != last and tables:
+                    yield from whole(tables)
+                    tables, n = [], 0
+                last = part
+                tables.append(pa.ipc.open_stream(block.as_buffer()).read_all())
+                n += len(tables[-1])
+                if n > 2 * len(tables[0]) + CHUNK:
+                    tables = [_summed(tables)]
+                    n = len(tables[0])
+        if tables:
+            yield from whole(tables)
+
+    blocks = written.select("text", "lang").mapInArrow(count, "part int, block binary")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "lang string, length int, phrase string, n long")
+
+
+def _parts_counted(cuts: DataFrame, side: str, counts: DataFrame, into: str) -> DataFrame:
+    """``cuts`` with the count of the part in a column; each part's count is found once, whatever number of cuts has it."""
+    uses = cuts.groupBy(side).agg(F.count("*").alias("uses"))
+    table = materialise(uses.join(counts.select(F.struct("lang", "phrase").alias(side), F.col("n").alias(into)), side), f"{side}-parts")
+    return join_frequent_apart(cuts, table, [side], "uses", cuts.count())
 
 
 def _part(words: Column, start: Column | int, length: Column) -> Column:
@@ -236,8 +409,6 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     task's batch and by their text after it.
     """
     counts = materialise(phrase_counts(docs, text_col, lang_col, least, longest, shards, bits), "phrase-counts")
-    # Both by themselves: a text that joins them would depend on what a language's name may hold.
-    key = F.struct("lang", "phrase")
     phrases = counts.where("length > 0")
     candidates = phrases.where("length > 1").withColumn("words", F.split("phrase", " "))
     # A longer phrase that is frequent enough has one in between that is too, so one word more is all to look at.
@@ -256,8 +427,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         "lang", "phrase", "a", "k",
         F.struct("lang", _part(F.col("words"), 1, F.col("k")).alias("phrase")).alias("first"),
         F.struct("lang", _part(F.col("words"), F.col("k") + 1, F.col("length") - F.col("k")).alias("phrase")).alias("rest"))
-    cuts = lookup(cuts, "first", phrases.select(key.alias("first"), F.col("n").alias("l")))
-    cuts = lookup(cuts, "rest", phrases.select(key.alias("rest"), F.col("n").alias("r")))
+    # Both by themselves: a text that joins them would depend on what a language's name may hold.
+    cuts = _parts_counted(materialise(cuts, "phrase-cuts"), "first", phrases, "l")
+    cuts = _parts_counted(materialise(cuts, "left-counted-cuts"), "rest", phrases, "r")
     scored = cuts.withColumn("score", F.expr(f"({SCALE}BD * cast(a AS decimal(20,0))) div (cast(l AS decimal(20,0)) + cast(r AS decimal(20,0)))"))
     weakest = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     totals = counts.where("length = 0").select("lang", F.col("n").alias("total"))

@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tallywatch.llm import phrases
@@ -132,3 +134,34 @@ def test_a_phrase_whose_part_shares_its_bit_with_a_word(spark):
 def test_languages_and_words_with_zero_bytes(spark):
     rows = [("b\x00c d", "a")] * 7 + [("c d", "a\x00b")] * 5 + [("c", "a\x00b")] * 9
     compared(spark, rows, 5)
+
+
+def test_memory_of_a_scan_does_not_follow_the_batch():
+    texts = pa.array(["some words of a text, and more of them "] * 500_000)
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(["en"] * len(texts))], ["text", "lang"])
+    tracemalloc.start()
+    words = sum(len(tokens.hash) for tokens in phrases._each(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words == 9 * len(texts) and peak < 60_000_000
+
+
+def test_blocks_give_back_values_and_counts():
+    low = np.sort(np.random.default_rng(1).choice(1 << 32, 5000, replace=False)).astype(np.uint32)
+    n = np.arange(5000, dtype=np.uint64) % 300
+    both = phrases._unblock(phrases._block(low, n))
+    assert (both >> np.uint64(32) == low).all() and (both & np.uint64(0xFFFFFFFF) == n).all()
+
+
+def test_phrases_kept_over_several_batches():
+    rows = made_up(7, 40)
+    kept = phrases._Kept()
+    for part in (rows[:25], rows[25:]):
+        texts, langs = zip(*part)
+        kept.count(phrases._Tokens(pc.fill_null(pa.array(texts, pa.string()), ""), pc.fill_null(pa.array(langs, pa.string()), "und")),
+                   np.full(1 << 4, 2**64 - 1, dtype=np.uint64), 4)
+    blocks = kept.blocks(3)
+    assert len(set(blocks["part"].to_pylist())) > 1
+    table = phrases._summed([pa.ipc.open_stream(block.as_buffer()).read_all() for block in blocks["block"]])
+    got = {(r["lang"], r["phrase"] and r["phrase"].decode()): r["n"] for r in table.to_pylist()}
+    assert len(got) == len(table) and got == all_counts(rows) | {key: 0 for key in got if key[1] is None and got[key] == 0}
