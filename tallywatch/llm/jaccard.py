@@ -32,6 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,8 @@ BITS = 25
 SMALL = 48
 ROUNDS = 1
 PIECE = 4_000_000
+#: Bytes of compressed texts whose sets are made and compared together.
+ROOM = 500_000
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -324,21 +327,48 @@ def _met(entries: DataFrame) -> DataFrame:
 
 
 def _whole_sets(texts: DataFrame, keys: DataFrame, width: int, bits: int) -> DataFrame:
-    """(key, items) of the sets named by ``keys``, with its other columns. A bitmap of fixed size keeps most others from leaving the task."""
+    """(key, words) of the sets named by ``keys``, with its other columns. A bitmap of fixed size keeps most others from leaving the task.
+
+    ``words`` is a compressed text with that set, which takes less room than hashes of its shingles do.
+    """
     wanted = texts.sparkSession.sparkContext.broadcast(
         set_bits(np.zeros(1 << bits - 6, dtype=np.uint64), keys.select(F.col("key").alias("hash"))))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, sets in _each(batches, 0, width):
+        for batch, sets in _each(batches, 0, width):
             rows = np.flatnonzero((sets.sizes > 0) & in_bitmap(wanted.value, sets.key))
             rows = _new(sets, rows, seen)
-            yield pa.RecordBatch.from_arrays([pa.array(sets.key[rows].view(np.int64)), sets.lists(rows)], ["key", "items"])
+            words = [zlib.compress(text.encode().lower()) for text in batch.column(0).take(pa.array(rows)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(sets.key[rows].view(np.int64)), pa.array(words, pa.binary())], ["key", "words"])
 
-    found = texts.mapInArrow(listed, "key long, items array<long>").join(keys, "key")
+    found = texts.mapInArrow(listed, "key long, words binary").join(keys, "key")
     return found.dropDuplicates(["key"])
 
 
+def _linked(both: DataFrame, width: int, share: int) -> DataFrame:
+    """Those rows (a, b) of ``both`` (a, b, of_a, of_b) whose texts' sets link."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            room = sum(pc.binary_length(batch.column(k)).to_numpy().astype(np.int64) for k in (2, 3))
+            runs = np.flatnonzero(np.diff(np.cumsum(room) // ROOM, prepend=-1))
+            for lo, hi in zip(runs.tolist(), [*runs[1:].tolist(), len(room)]):
+                part = batch.slice(lo, hi - lo)
+                ends = np.concatenate([part.column(0).to_numpy(), part.column(1).to_numpy()])
+                packed = pa.concat_arrays([part.column(2), part.column(3)])
+                # A leader stands in many pairs, its set is made once.
+                _, first, which = np.unique(ends, return_index=True, return_inverse=True)
+                sets = _Sets(pa.array([zlib.decompress(words) for words in packed.take(pa.array(first)).to_pylist()], pa.large_binary()), width)
+                items = [sets.items[i:j] for i, j in zip(sets.bounds[:-1].tolist(), sets.bounds[1:].tolist())]
+                one, other = which[:hi - lo], which[hi - lo:]
+                common = np.array([len(np.intersect1d(items[i], items[j], assume_unique=True)) for i, j in zip(one.tolist(), other.tolist())])
+                good = common * 100 >= share * (sets.sizes[one] + sets.sizes[other] - common)
+                yield part.select(["a", "b"]).filter(pa.array(good))
+
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(link, "a long, b long")
+
+
 def _checked(pairs: DataFrame, texts: DataFrame, width: int, share: int, bits: int) -> DataFrame:
     """Those pairs (a, b) whose whole sets link."""
     pairs = materialise(pairs, "pairs")
@@ -349,11 +379,9 @@ def _checked(pairs: DataFrame, texts: DataFrame, width: int, share: int, bits: i
         F.struct(F.col("a").alias("key"), F.lit(True).alias("first")), F.struct(F.col("b").alias("key"), F.lit(False).alias("first")))).alias("side"))
     keys = sides.groupBy("side.key").agg(F.bool_or("side.first").alias("as_a"), (~F.bool_and("side.first")).alias("as_b"))
     sets = materialise(_whole_sets(texts, materialise(keys, "pair-keys"), width, bits), "whole-sets")
-    both = pairs.join(sets.where("as_b").select(F.col("key").alias("b"), F.col("items").alias("of_b")), "b").join(
-        sets.where("as_a").select(F.col("key").alias("a"), F.col("items").alias("of_a")), "a")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    together = F.size("of_a") + F.size("of_b") - F.col("common")
-    return both.withColumn("common", common).where(F.col("common") * 100 >= share * together).select("a", "b")
+    both = pairs.join(sets.where("as_b").select(F.col("key").alias("b"), F.col("words").alias("of_b")), "b").join(
+        sets.where("as_a").select(F.col("key").alias("a"), F.col("words").alias("of_a")), "a")
+    return _linked(both, width, share)
 
 
 def _list_links(live: DataFrame, texts: DataFrame, links: DataFrame, largest: int, width: int, share: int, rounds: int, bits: int) -> DataFrame:

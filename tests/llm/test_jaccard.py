@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -141,3 +142,16 @@ def test_span_hashes_tell_words_apart():
     ends = np.cumsum([len(w) + 1 for w in words * 2]) - 1
     hashes = span_hashes(data, ends - np.array([len(w) for w in words * 2]), ends)
     assert len(np.unique(hashes)) == len(words) and (hashes[:len(words)] == hashes[len(words):]).all()
+
+
+def test_whole_sets_travel_in_less_room_than_their_hashes(spark):
+    rng = random.Random(3)
+    stock = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(rng.choice(stock).title() for _ in range(500)) for _ in range(20)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    made = jaccard._Sets(pa.array(texts), 5)
+    keys = spark.createDataFrame([(k,) for k in made.key.view(np.int64).tolist()], "key long")
+    rows = jaccard._whole_sets(frame, keys, 5, 12).collect()
+    assert sum(len(r["words"]) for r in rows) < 0.5 * 8 * len(made.items)
+    back = jaccard._Sets(pa.array([zlib.decompress(r["words"]) for r in rows], pa.large_binary()), 5)
+    assert back.key.view(np.int64).tolist() == [r["key"] for r in rows] and sorted(back.key.tolist()) == sorted(made.key.tolist())
